@@ -10,7 +10,7 @@ from tickbars.schemas import PRICE
 # Text formats and patterns of the record contracts.
 ID_FORMAT = "%s-%013d"
 ID_PATTERN = "^[A-Z0-9_.-]+-[0-9]{13}$"
-NUMBER_PATTERN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+NOT_A_NUMBER = "[dDfFxXnN]"
 
 
 def col(value: Column | str) -> Column:
@@ -19,8 +19,9 @@ def col(value: Column | str) -> Column:
 
 def floor_ms(ts_ms: Column | str, width_ms: int) -> Column:
     """Start of the window of ``width_ms`` that holds ``ts_ms``; negative times floor downwards."""
-    ts = col(ts_ms)
-    return ts - F.pmod(ts, F.lit(width_ms).cast("long"))
+    if isinstance(ts_ms, str):
+        return F.expr(f"{ts_ms} - pmod({ts_ms}, {width_ms}L)")
+    return ts_ms - F.pmod(ts_ms, F.lit(width_ms).cast("long"))
 
 
 def series_id(symbol: Column | str, start_ms: Column | str, suffix: str | None = None) -> Column:
@@ -45,9 +46,12 @@ def seconds_to_ms(seconds: Column) -> Column:
 
 
 def number(text: Column | str) -> Column:
-    """Text to double, null for anything that is not a plain decimal number."""
+    """Text to double, null for anything that is not a plain decimal number.
+
+    The lenient cast also reads ``1d``, ``0x1p3``, ``NaN`` and ``Infinity``; the letters of those rule them out.
+    """
     value = col(text)
-    return F.when(value.rlike(NUMBER_PATTERN), F.trim(value).try_cast("double"))
+    return F.when(~value.rlike(NOT_A_NUMBER), value.try_cast("double"))
 
 
 def whole_ms(text: Column | str) -> Column:
@@ -71,9 +75,11 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
 
 
-def vwap(notional: Column | str, volume: Column | str, close: Column | str) -> Column:
-    """Volume-weighted price to six decimals; the close when nothing traded."""
-    return F.coalesce(round6(ratio(col(notional), col(volume))), col(close).cast("double"))
+# Volume-weighted price of a folded row to six decimals; the close when nothing traded.
+VWAP = (
+    "coalesce(CAST(floor(CAST(notional AS DOUBLE) / nullif(CAST(volume AS DOUBLE), 0D) * 1e6D + 0.5D) AS DOUBLE) / 1e6D, "
+    "CAST(close AS DOUBLE))"
+)
 
 
 def within(a: Column, b: Column, tolerance: float) -> Column:

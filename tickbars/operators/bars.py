@@ -62,16 +62,16 @@ def fold_bins(
         by_grain(bins.withColumn("_late", late))
         .groupBy("symbol", GRAIN, second.alias("bar_start"))
         .agg(
-            F.min_by("open", order).alias("open"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-            F.max_by("close", order).alias("close"),
-            F.sum("volume").cast(PRICE).alias("volume"),
-            F.sum("notional").cast(PRICE).alias("notional"),
-            F.count(F.lit(1)).alias("bin_count"),
-            F.max("_late").alias("max_lateness_ms"),
-            F.min("api_send_ts_ms").alias("api_send_ts_ms"),
-            F.min("source_event_ts_ms").alias("source_event_ts_ms"),
+            F.expr(f"min_by(open, {order}) AS open"),
+            F.expr("max(high) AS high"),
+            F.expr("min(low) AS low"),
+            F.expr(f"max_by(close, {order}) AS close"),
+            F.expr("CAST(sum(volume) AS DECIMAL(18,6)) AS volume"),
+            F.expr("CAST(sum(notional) AS DECIMAL(18,6)) AS notional"),
+            F.expr("count(1) AS bin_count"),
+            F.expr("max(_late) AS max_lateness_ms"),
+            F.expr("min(api_send_ts_ms) AS api_send_ts_ms"),
+            F.expr("min(source_event_ts_ms) AS source_event_ts_ms"),
         )
     )
     return finish_bars(folded, ingest, keep_grain)
@@ -80,15 +80,16 @@ def fold_bins(
 def finish_bars(folded: DataFrame, ingest: Column | None = None, keep_grain: bool = False) -> DataFrame:
     """Add id, end, VWAP, emission time and source to folded bars."""
     extra = [GRAIN] if keep_grain else []
-    return (
-        folded.withColumnRenamed("bar_start", "start_ts_ms")
-        .withColumn("bar_id", x.series_id("symbol", "start_ts_ms"))
-        .withColumn("end_ts_ms", F.col("start_ts_ms") + SECOND_MS)
-        .withColumn("vwap", x.vwap("notional", "volume", "close"))
-        .withColumn("ingest_ts_ms", wall_clock_ms() if ingest is None else ingest)
-        .withColumn("source", F.lit(BAR_SOURCE))
-        .select(*BAR_COLUMNS, *extra)
+    identified = folded.selectExpr(
+        f"format_string('{x.ID_FORMAT}', symbol, bar_start) AS bar_id",
+        "bar_start AS start_ts_ms",
+        f"bar_start + {SECOND_MS} AS end_ts_ms",
+        f"{x.VWAP} AS vwap",
+        f"'{BAR_SOURCE}' AS source",
+        "*",
     )
+    emitted = wall_clock_ms() if ingest is None else ingest
+    return identified.withColumn("ingest_ts_ms", emitted).select(*BAR_COLUMNS, *extra)
 
 
 def expected_bars(log: DataFrame, order: str = "start_ts_ms") -> DataFrame:
@@ -125,26 +126,20 @@ def expected_bars(log: DataFrame, order: str = "start_ts_ms") -> DataFrame:
         F.count(F.lit(1)).alias("bin_count"),
         F.max("_late").alias("max_lateness_ms"),
     )
-    return (
-        folded.withColumnRenamed("bar_start", "start_ts_ms")
-        .withColumn("bar_id", x.series_id("symbol", "start_ts_ms"))
-        .withColumn("end_ts_ms", F.col("start_ts_ms") + SECOND_MS)
-        .withColumn("vwap", x.vwap("notional", "volume", "close"))
-        .select(
-            "bar_id",
-            "symbol",
-            "start_ts_ms",
-            "end_ts_ms",
-            "open",
-            "high",
-            "low",
-            "close",
-            "volume",
-            "notional",
-            "vwap",
-            "bin_count",
-            "max_lateness_ms",
-        )
+    return folded.selectExpr(
+        f"format_string('{x.ID_FORMAT}', symbol, bar_start) AS bar_id",
+        "symbol",
+        "bar_start AS start_ts_ms",
+        f"bar_start + {SECOND_MS} AS end_ts_ms",
+        "open",
+        "high",
+        "low",
+        "close",
+        "volume",
+        "notional",
+        f"{x.VWAP} AS vwap",
+        "bin_count",
+        "max_lateness_ms",
     )
 
 

@@ -46,30 +46,31 @@ def fold_ticks(
     the map side, so a crowded bin costs one row per map task.
     """
     folded = ticks.groupBy("symbol", x.floor_ms("event_ts_ms", bin_ms).alias("start_ts_ms")).agg(
-        F.min_by("px", order).alias("open"),
-        F.max("px").alias("high"),
-        F.min("px").alias("low"),
-        F.max_by("px", order).alias("close"),
-        F.sum("sz").cast(PRICE).alias("volume"),
-        F.sum(F.col("px") * F.col("sz")).cast(PRICE).alias("notional"),
-        F.count(F.lit(1)).alias("trade_count"),
-        F.max("lateness_ms").alias("max_lateness_ms"),
-        F.min("api_send_ts_ms").alias("api_send_ts_ms"),
-        F.min("source_event_ts_ms").alias("source_event_ts_ms"),
+        F.expr(f"min_by(px, {order}) AS open"),
+        F.expr("max(px) AS high"),
+        F.expr("min(px) AS low"),
+        F.expr(f"max_by(px, {order}) AS close"),
+        F.expr("CAST(sum(sz) AS DECIMAL(18,6)) AS volume"),
+        F.expr("CAST(sum(px * sz) AS DECIMAL(18,6)) AS notional"),
+        F.expr("count(1) AS trade_count"),
+        F.expr("max(lateness_ms) AS max_lateness_ms"),
+        F.expr("min(api_send_ts_ms) AS api_send_ts_ms"),
+        F.expr("min(source_event_ts_ms) AS source_event_ts_ms"),
     )
     return finish_bins(folded, bin_ms, ingest)
 
 
 def finish_bins(folded: DataFrame, bin_ms: int = BIN_MS, ingest: Column | None = None) -> DataFrame:
     """Add id, end, width, emission time and source to folded bins."""
-    return (
-        folded.withColumn("bin_id", x.series_id("symbol", "start_ts_ms"))
-        .withColumn("end_ts_ms", F.col("start_ts_ms") + bin_ms)
-        .withColumn("window_ms", F.lit(bin_ms).cast("long"))
-        .withColumn("ingest_ts_ms", wall_clock_ms() if ingest is None else ingest)
-        .withColumn("source", F.lit(BIN_SOURCE))
-        .select(*BIN_COLUMNS)
+    identified = folded.selectExpr(
+        f"format_string('{x.ID_FORMAT}', symbol, start_ts_ms) AS bin_id",
+        "*",
+        f"start_ts_ms + {bin_ms} AS end_ts_ms",
+        f"{bin_ms}L AS window_ms",
+        f"'{BIN_SOURCE}' AS source",
     )
+    emitted = wall_clock_ms() if ingest is None else ingest
+    return identified.withColumn("ingest_ts_ms", emitted).select(*BIN_COLUMNS)
 
 
 def dedupe(rows: DataFrame, key: str = "bin_id") -> DataFrame:

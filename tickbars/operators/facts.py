@@ -11,18 +11,10 @@ from tickbars.schemas import FACT_1S, FACT_60S, FACT_300S, PRICE
 
 
 def _loose(name: str) -> Column:
-    """Text of a loosely typed field: booleans count as 1 and 0, blanks as missing."""
-    text = F.trim(F.col(name).cast("string"))
-    return F.when(F.lower(text) == "true", "1").when(F.lower(text) == "false", "0").otherwise(F.nullif(text, F.lit("")))
-
-
-def _int(name: str) -> Column:
-    return x.whole_ms(_loose(name))
-
-
-def _float(name: str, default: Column | None = None) -> Column:
-    fallback = F.lit(0.0) if default is None else default
-    return F.coalesce(x.number(_loose(name)), fallback)
+    """Number of a loosely typed field: booleans count as 1 and 0, blanks and other text as missing."""
+    text = F.col(name).cast("string")
+    flag = F.when(F.lower(text) == "true", 1.0).when(F.lower(text) == "false", 0.0)
+    return F.coalesce(x.number(text), flag).alias(name)
 
 
 def _load_ts(load_ts: Column | None) -> Column:
@@ -32,22 +24,28 @@ def _load_ts(load_ts: Column | None) -> Column:
 def fact_1s_from_records(records: DataFrame, now_ms: Column | None = None, load_ts: Column | None = None) -> DataFrame:
     """Loose one-second records to typed rows. Records without key, symbol or non-zero times are left out."""
     now = wall_clock_ms() if now_ms is None else now_ms
-    opened = _float("open")
-    coerced = records.where(F.col("bar_id").isNotNull() & F.col("symbol").isNotNull()).select(
+    zero, nothing = F.lit(0).cast("long"), F.lit(0.0)
+    whole = ("start_ts_ms", "end_ts_ms", "ingest_ts_ms", "bin_count", "max_lateness_ms")
+    real = ("open", "high", "low", "close", "volume", "notional", "vwap")
+    numbers = records.where(F.col("bar_id").isNotNull() & F.col("symbol").isNotNull()).select(
+        "bar_id", "symbol", *[_loose(name) for name in (*whole, *real)]
+    )
+    opened = numbers.withColumn("open", F.coalesce("open", nothing)).withColumn("close", F.coalesce("close", "open"))
+    coerced = opened.select(
         "bar_id",
         "symbol",
-        _int("start_ts_ms").alias("start_ms"),
-        _int("end_ts_ms").alias("end_ms"),
-        F.coalesce(F.nullif(_int("ingest_ts_ms"), F.lit(0).cast("long")), now).alias("ingest_ms"),
-        opened.alias("open"),
-        _float("high", opened).alias("high"),
-        _float("low", opened).alias("low"),
-        _float("close", opened).alias("close"),
-        _float("volume").alias("volume"),
-        _float("notional").alias("notional"),
-        _float("vwap", _float("close", opened)).alias("vwap"),
-        F.coalesce(_int("bin_count"), F.lit(0)).alias("bin_count"),
-        F.coalesce(_int("max_lateness_ms"), F.lit(0)).alias("max_lateness_ms"),
+        F.col("start_ts_ms").try_cast("long").alias("start_ms"),
+        F.col("end_ts_ms").try_cast("long").alias("end_ms"),
+        F.coalesce(F.nullif(F.col("ingest_ts_ms").try_cast("long"), zero), now).alias("ingest_ms"),
+        "open",
+        F.coalesce("high", "open").alias("high"),
+        F.coalesce("low", "open").alias("low"),
+        "close",
+        F.coalesce("volume", nothing).alias("volume"),
+        F.coalesce("notional", nothing).alias("notional"),
+        F.coalesce("vwap", "close").alias("vwap"),
+        F.coalesce(F.col("bin_count").try_cast("long"), zero).alias("bin_count"),
+        F.coalesce(F.col("max_lateness_ms").try_cast("long"), zero).alias("max_lateness_ms"),
     )
     usable = coerced.where((F.col("start_ms") != 0) & (F.col("end_ms") != 0))
     return _typed(

@@ -30,13 +30,12 @@ def with_lateness(
     does by a rule of the caller's; the running maximum of a chunk is carried into the later ones.
     ``watermark`` names a column that holds the symbol's watermark from before this input, as in micro-batches.
     """
-    carried = bool(borders) or chunk is not None
-    chunked = ordering.with_chunk(rows, order, borders) if chunk is None else rows.withColumn(ordering.CHUNK, chunk)
-    earlier = W.partitionBy("symbol", ordering.CHUNK).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    floors: list[Column] = [F.max(time).over(earlier), F.lit(0).cast("long")]
-    if carried:
-        chunked = ordering.carry(
-            chunked,
+    keys, floors = ["symbol"], [F.lit(0).cast("long")]
+    if borders or chunk is not None:
+        keys.append(ordering.CHUNK)
+        rows = ordering.with_chunk(rows, order, borders) if chunk is None else rows.withColumn(ordering.CHUNK, chunk)
+        rows = ordering.carry(
+            rows,
             ["symbol"],
             ordering.CHUNK,
             [F.max(time).alias("_top")],
@@ -45,8 +44,9 @@ def with_lateness(
         floors.append(F.col("_carried"))
     if watermark is not None:
         floors.append(F.col(watermark))
-    late = F.greatest(F.greatest(*floors) - F.col(time), F.lit(0).cast("long"))
-    return chunked.withColumn("lateness_ms", late).drop(ordering.CHUNK, "_carried")
+    earlier = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    late = F.greatest(F.greatest(F.max(time).over(earlier), *floors) - F.col(time), F.lit(0).cast("long"))
+    return rows.withColumn("lateness_ms", late).drop(ordering.CHUNK, "_carried")
 
 
 def accepted(rows: DataFrame, max_late_ms: int = MAX_LATE_MS) -> DataFrame:

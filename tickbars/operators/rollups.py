@@ -35,28 +35,31 @@ def with_defaults(bars: DataFrame, ingest: Column | None = None) -> DataFrame:
 
 def _fold(bars: DataFrame, start: Column, count: Column, order: str) -> DataFrame:
     rows = bars if GRAIN in bars.columns else by_grain(bars)
-    return rows.groupBy("symbol", GRAIN, start.alias("bar_start")).agg(
-        F.min_by("open", order).alias("open"),
-        F.max_by("close", order).alias("close"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.sum("volume").cast(PRICE).alias("volume"),
-        F.sum("notional").cast(PRICE).alias("notional"),
-        F.max("ingest_ts_ms").alias("ingest_ts_ms"),
-        count.alias("source_count"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
+    return rows.groupBy("symbol", GRAIN, start.alias("bar_start")).agg(*_ohlc(order), count.alias("source_count"))
+
+
+def _ohlc(order: str) -> list[Column]:
+    return [
+        F.expr(f"min_by(open, {order}) AS open"),
+        F.expr(f"max_by(close, {order}) AS close"),
+        F.expr("max(high) AS high"),
+        F.expr("min(low) AS low"),
+        F.expr("CAST(sum(volume) AS DECIMAL(18,6)) AS volume"),
+        F.expr("CAST(sum(notional) AS DECIMAL(18,6)) AS notional"),
+        F.expr("max(ingest_ts_ms) AS ingest_ts_ms"),
+        F.expr("count(1) AS _rows"),
+    ]
 
 
 def minute_bars(bars: DataFrame, order: str = "start_ts_ms", keep_grain: bool = False) -> DataFrame:
     """One bar per symbol and minute out of one-second bars. A late second joins its minute, it replaces nothing."""
     folded = _fold(bars, x.floor_ms("start_ts_ms", MINUTE_MS), F.count(F.lit(1)), order)
     extra = [GRAIN] if keep_grain else []
-    return folded.select(
-        x.series_id("symbol", "bar_start", MINUTE_SUFFIX).alias("bar_id"),
+    return folded.selectExpr(
+        f"format_string('{x.ID_FORMAT}-{MINUTE_SUFFIX}', symbol, bar_start) AS bar_id",
         "symbol",
-        F.col("bar_start").alias("start_ts_ms"),
-        (F.col("bar_start") + MINUTE_MS).alias("end_ts_ms"),
+        "bar_start AS start_ts_ms",
+        f"bar_start + {MINUTE_MS} AS end_ts_ms",
         "open",
         "close",
         "high",
@@ -94,17 +97,11 @@ def counted_batches(minutes: DataFrame, batch: int = FLUSH_MINUTES) -> DataFrame
         .agg(
             F.min("start_ts_ms").alias("start_ts_ms"),
             F.max("end_ts_ms").alias("end_ts_ms"),
-            F.min_by("open", "start_ts_ms").alias("open"),
-            F.max_by("close", "start_ts_ms").alias("close"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-            F.sum("volume").cast(PRICE).alias("volume"),
-            F.sum("notional").cast(PRICE).alias("notional"),
-            F.max("ingest_ts_ms").alias("ingest_ts_ms"),
-            F.count(F.lit(1)).alias("minute_count"),
+            *_ohlc("start_ts_ms"),
             F.sum("source_count").alias("source_count"),
         )
-        .where(F.col("minute_count") == batch)
+        .where(F.col("_rows") == batch)
+        .withColumnRenamed("_rows", "minute_count")
     )
     return folded.select(x.series_id("symbol", "start_ts_ms", FIVE_MINUTE_SUFFIX).alias("bar_id"), *_five_minute())
 

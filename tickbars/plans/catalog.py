@@ -49,22 +49,24 @@ HISTORY_SECONDS = 300
 _CATALOG: dict[str, Query] = {}
 
 
-def _plain(frame: DataFrame) -> DataFrame:
-    """Results in types every engine has: doubles for decimals, wall-clock timestamps, dates as text."""
+_PLAIN_TYPES = {
+    T.DecimalType: "DOUBLE",
+    T.TimestampType: "TIMESTAMP_NTZ",
+    T.DateType: "STRING",
+    T.IntegerType: "BIGINT",
+    T.ShortType: "BIGINT",
+}
 
-    def plain(field: T.StructField):
-        column = F.col(field.name)
-        if isinstance(field.dataType, T.DecimalType):
-            return column.cast("double").alias(field.name)
-        if isinstance(field.dataType, T.TimestampType):
-            return column.cast("timestamp_ntz").alias(field.name)
-        if isinstance(field.dataType, T.DateType):
-            return column.cast("string").alias(field.name)
-        if isinstance(field.dataType, (T.IntegerType, T.ShortType)):
-            return column.cast("long").alias(field.name)
-        return column
 
-    return frame.select(*[plain(f) for f in frame.schema.fields if f.name not in (bars.GRAIN, "load_ts")])
+def _plain(frame: DataFrame) -> DataFrame:
+    """Results in types every engine has: doubles for decimals, wall-clock timestamps, dates as text."""
+    columns = []
+    for field in frame.schema.fields:
+        if field.name in (bars.GRAIN, "load_ts"):
+            continue
+        target = _PLAIN_TYPES.get(type(field.dataType))
+        columns.append(f"CAST({field.name} AS {target}) AS {field.name}" if target else field.name)
+    return frame.selectExpr(*columns)
 
 
 def query(build: Callable[[Feed], DataFrame]) -> Callable[[Feed], DataFrame]:
@@ -128,7 +130,7 @@ def first_n_rows(feed: Feed) -> DataFrame:
 
 @query
 def first_full_week(feed: Feed) -> DataFrame:
-    rows = events.read_table(feed.spark, feed.sf_dir, "events")
+    rows = events.read_events(feed.spark, feed.sf_dir)
     return replay.first_full_week(rows, "ts").select("event_id", F.to_date("ts").alias("day"), "value")
 
 
@@ -409,7 +411,7 @@ def dim_symbol(feed: Feed) -> DataFrame:
 @query
 def dim_calendar(feed: Feed) -> DataFrame:
     """The calendar of the days the events span."""
-    return dims.calendar_of(events.read_table(feed.spark, feed.sf_dir, "events"), "ts", feed.load_ts)
+    return dims.calendar_of(events.read_events(feed.spark, feed.sf_dir), "ts", feed.load_ts)
 
 
 @query
@@ -593,7 +595,7 @@ def quotes_append(feed: Feed) -> DataFrame:
 
 @query
 def raw_json_fields(feed: Feed) -> DataFrame:
-    rows = events.read_table(feed.spark, feed.sf_dir, "events")
+    rows = events.read_events(feed.spark, feed.sf_dir)
     line = F.concat(
         F.lit('{"id":'),
         F.col("event_id").cast("string"),

@@ -19,7 +19,7 @@ LOAD_TS = dt.datetime(2025, 1, 2, 15, 0, 0)
 
 def emitted_ms() -> Column:
     """A bin's or bar's emission time: half a second after its end, plus a little that varies."""
-    return F.col("end_ts_ms") + 500 + F.expr("(start_ts_ms div 10) % 200")
+    return F.expr("end_ts_ms + 500 + (start_ts_ms div 10) % 200")
 
 
 def with_receipt(rows: DataFrame) -> DataFrame:
@@ -72,10 +72,10 @@ class Feed:
     @cached_property
     def arriving_bins(self) -> DataFrame:
         """Bins in a disordered arrival of up to 1.5 s, with lateness by their end times."""
-        late = F.pmod(F.expr(f"start_ts_ms div 10") * events.DISORDER_STEP, F.lit(events.DISORDER_MS))
-        arrival = (F.col("end_ts_ms") + late) * 1_000_000 + F.col("start_ts_ms") % 1_000_000
+        late = f"(start_ts_ms div 10) * {events.DISORDER_STEP} % {events.DISORDER_MS}"
+        arrival = f"(end_ts_ms + {late}) * 1000000 + start_ts_ms % 1000000 AS arrival_seq"
         hour = F.expr("arrival_seq div 3600000000000")
-        return lateness.with_lateness(self.bins.withColumn("arrival_seq", arrival), "arrival_seq", "end_ts_ms", chunk=hour)
+        return lateness.with_lateness(self.bins.selectExpr("*", arrival), "arrival_seq", "end_ts_ms", chunk=hour)
 
     @cached_property
     def bars(self) -> DataFrame:

@@ -14,6 +14,7 @@ _TYPES = {
     "DOUBLE": T.DoubleType(),
     "PRICE": PRICE,
     "TIMESTAMP": T.TimestampType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
     "DATE": T.DateType(),
     "BOOLEAN": T.BooleanType(),
 }
@@ -25,6 +26,8 @@ def _struct(spec: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
+EVENTS = _struct("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING")
+
 TICK_CSV = _struct("trade_day STRING, trade_time STRING, price STRING, bid STRING, ask STRING, size STRING, _bad STRING")
 
 # As delivered: numbers may arrive as JSON strings, so the lenient fields stay text until normalised. A size

@@ -5,10 +5,9 @@ The events carry no prices of their own market, so each column is mapped by a fi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tickbars.schemas import PRICE
+from tickbars.schemas import EVENTS
 
 # Fixed values of the mapping from events to ticks.
 SYMBOL_OF_EVENT = {"click": "WDC", "view": "AAPL", "purchase": "MSFT", "signup": "TSLA", "error": "ZZZ"}
@@ -20,87 +19,82 @@ DISORDER_MS = 1_500
 ARRIVAL_STRIDE = 2_000_000_000_000
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _symbol() -> Column:
-    return F.element_at(
-        F.create_map(*[F.lit(part) for pair in SYMBOL_OF_EVENT.items() for part in pair]), F.col("event_type")
-    )
-
-
-def _with_times(events: DataFrame) -> DataFrame:
-    source_ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    return events.withColumn("source_event_ts_ms", source_ms).withColumn(
-        "event_ts_ms",
-        F.lit(SESSION_EPOCH_MS) + F.expr(f"(source_event_ts_ms - {SOURCE_EPOCH_MS}L) div {TIME_SCALE}"),
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table, with its layout given so that no job has to look at the files first."""
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
+def _symbol() -> str:
+    pairs = ", ".join(f"'{event}', '{symbol}'" for event, symbol in SYMBOL_OF_EVENT.items())
+    return f"element_at(map({pairs}), event_type)"
+
+
+def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with source and event time, arrival order, symbol and the number in their properties.
+
+    Arrival follows event time with a fixed disorder of up to 1.5 s; the event id breaks ties, so it is unique.
+    """
+    source_ms = "unix_millis(CAST(ts AS TIMESTAMP))"
+    return (
+        read_events(spark, sf_dir)
+        .selectExpr(
+            "*",
+            f"{source_ms} AS source_ms",
+            f"{SESSION_EPOCH_MS} + ({source_ms} - {SOURCE_EPOCH_MS}) div {TIME_SCALE} AS event_ms",
+            f"{_symbol()} AS symbol",
+            "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        )
+        .selectExpr(
+            "*",
+            f"(event_ms - {SESSION_EPOCH_MS} + event_id * {DISORDER_STEP} % {DISORDER_MS}) * {ARRIVAL_STRIDE} + event_id"
+            " AS arrival_seq",
+        )
     )
 
 
-def _arrival_seq() -> Column:
-    """Arrival order: event time plus a fixed disorder of up to 1.5 s, ties by event id. Unique."""
-    arrival = F.col("event_ts_ms") - SESSION_EPOCH_MS + F.pmod(F.col("event_id") * DISORDER_STEP, F.lit(DISORDER_MS))
-    return arrival * F.lit(ARRIVAL_STRIDE) + F.col("event_id")
-
-
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
 def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks: arrival_seq, symbol, px, sz, event and source times, API send time (sometimes missing)."""
-    events = _with_times(read_table(spark, sf_dir, "events"))
-    send = F.when(
-        F.pmod("event_id", F.lit(17)) != 0, F.col("event_ts_ms") + 20 + F.pmod("event_id", F.lit(30))
-    )
-    return events.select(
-        _arrival_seq().alias("arrival_seq"),
-        _symbol().alias("symbol"),
-        F.col("value").cast(PRICE).alias("px"),
-        (F.col("value") - 0.01).cast(PRICE).alias("bid"),
-        (F.col("value") + 0.01).cast(PRICE).alias("ask"),
-        _k().cast(PRICE).alias("sz"),
-        "event_ts_ms",
-        send.alias("api_send_ts_ms"),
-        "source_event_ts_ms",
-        F.lit("mock_api").alias("source"),
+    return _timed(spark, sf_dir).selectExpr(
+        "arrival_seq",
+        "symbol",
+        "CAST(value AS DECIMAL(18,6)) AS px",
+        "CAST(value - 0.01D AS DECIMAL(18,6)) AS bid",
+        "CAST(value + 0.01D AS DECIMAL(18,6)) AS ask",
+        "CAST(k AS DECIMAL(18,6)) AS sz",
+        "event_ms AS event_ts_ms",
+        "IF(event_id % 17 <> 0, event_ms + 20 + event_id % 30, NULL) AS api_send_ts_ms",
+        "source_ms AS source_event_ts_ms",
+        "'mock_api' AS source",
     )
 
 
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same ticks as loosely typed messages: text numbers, fractional seconds, holes."""
-    events = _with_times(read_table(spark, sf_dir, "events"))
-    k = _k()
-    return events.select(
-        _arrival_seq().alias("arrival_seq"),
-        F.when(k != 13, _symbol()).otherwise(F.lit("")).alias("symbol"),
-        F.when(k != 7, F.col("value").cast("string")).alias("px"),
-        (F.col("value") - 0.01).cast("string").alias("bid"),
-        F.when(k != 19, (F.col("value") + 0.01).cast("string")).otherwise(F.lit("oops")).alias("ask"),
-        F.when(k != 23, k.cast("double")).alias("sz"),
-        F.when(k != 11, (F.col("event_ts_ms") / F.lit(1000.0)).cast(PRICE).cast("string")).alias("event_ts"),
-        F.when(k != 29, F.concat(F.col("event_ts_ms").cast("string"), F.lit(".75")))
-        .otherwise(F.lit("soon"))
-        .alias("api_send_ts_ms"),
-        F.lit("mock_api").alias("source"),
-        (F.col("source_event_ts_ms") / F.lit(1000.0)).cast(PRICE).cast("string").alias("source_event_ts"),
-        F.when(k >= 50, F.col("source_event_ts_ms").cast("string")).alias("source_event_ts_ms"),
+    return _timed(spark, sf_dir).selectExpr(
+        "arrival_seq",
+        "IF(k <> 13, symbol, '') AS symbol",
+        "IF(k <> 7, CAST(value AS STRING), NULL) AS px",
+        "CAST(value - 0.01D AS STRING) AS bid",
+        "IF(k <> 19, CAST(value + 0.01D AS STRING), 'oops') AS ask",
+        "IF(k <> 23, CAST(k AS DOUBLE), NULL) AS sz",
+        "IF(k <> 11, CAST(CAST(event_ms / 1000.0D AS DECIMAL(18,6)) AS STRING), NULL) AS event_ts",
+        "IF(k <> 29, concat(CAST(event_ms AS STRING), '.75'), 'soon') AS api_send_ts_ms",
+        "'mock_api' AS source",
+        "CAST(CAST(source_ms / 1000.0D AS DECIMAL(18,6)) AS STRING) AS source_event_ts",
+        "IF(k >= 50, CAST(source_ms AS STRING), NULL) AS source_event_ts_ms",
     )
 
 
 def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quote snapshots with missing prices and zero sizes."""
-    events = _with_times(read_table(spark, sf_dir, "events"))
-    k = _k()
-    return events.select(
-        F.col("event_id").alias("quote_id"),
-        _symbol().alias("symbol"),
-        F.when(k >= 20, F.col("value")).alias("last_price"),
-        F.when(k % 3 != 0, F.col("value").cast(PRICE) - F.lit("0.01").cast(PRICE)).cast("double").alias("bid"),
-        F.when(k % 4 != 0, F.col("value").cast(PRICE) + F.lit("0.01").cast(PRICE)).cast("double").alias("ask"),
-        (k % 5).cast("double").alias("last_size"),
-        (k % 7).cast("double").alias("bid_size"),
-        (k % 11).cast("double").alias("ask_size"),
-        F.col("event_ts_ms").alias("quote_ts_ms"),
+    return _timed(spark, sf_dir).selectExpr(
+        "event_id AS quote_id",
+        "symbol",
+        "IF(k >= 20, value, NULL) AS last_price",
+        "CAST(IF(k % 3 <> 0, CAST(value AS DECIMAL(18,6)) - 0.01, NULL) AS DOUBLE) AS bid",
+        "CAST(IF(k % 4 <> 0, CAST(value AS DECIMAL(18,6)) + 0.01, NULL) AS DOUBLE) AS ask",
+        "CAST(k % 5 AS DOUBLE) AS last_size",
+        "CAST(k % 7 AS DOUBLE) AS bid_size",
+        "CAST(k % 11 AS DOUBLE) AS ask_size",
+        "event_ms AS quote_ts_ms",
     )
