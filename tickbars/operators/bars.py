@@ -36,13 +36,13 @@ BAR_COLUMNS = [
 ]
 
 
-def by_grain(rows: DataFrame) -> DataFrame:
+def by_grain(rows: DataFrame, start: str = "start_ts_ms") -> DataFrame:
     """Hash rows by symbol and five-minute stretch.
 
     Seconds, minutes and aligned five minutes of a symbol lie inside one stretch, so all three foldings run on
     this one shuffle. A stretch holds at most one row per symbol and grid step, so no task can be flooded.
     """
-    return rows.withColumn(GRAIN, x.floor_ms("start_ts_ms", FIVE_MINUTES_MS)).repartition("symbol", GRAIN)
+    return rows.withColumn(GRAIN, x.floor_ms(start, FIVE_MINUTES_MS)).repartition("symbol", GRAIN)
 
 
 def fold_bins(

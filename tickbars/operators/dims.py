@@ -25,11 +25,11 @@ REGULAR = "REG"
 CLOSED = "OFF"
 
 
-def dim_symbol(spark: SparkSession, load_ts: Column | None = None) -> DataFrame:
+def dim_symbol(spark: SparkSession, load_ts: Column | dt.datetime | None = None) -> DataFrame:
     """The seeded symbol dimension."""
     seed = spark.createDataFrame(SYMBOL_SEED, "symbol STRING, name STRING, exchange STRING, sector STRING, industry STRING")
     stamped = seed.withColumn("is_active", F.lit(True)).withColumn(
-        "load_ts", F.current_timestamp() if load_ts is None else load_ts
+        "load_ts", F.current_timestamp() if load_ts is None else F.lit(load_ts)
     )
     return stamped.select(*[F.col(f.name).cast(f.dataType) for f in DIM_SYMBOL.fields])
 
@@ -41,7 +41,7 @@ def in_session(minute: Column | str) -> Column:
     return (x.iso_weekday(when) <= 5) & of_day.between(SESSION_FIRST_MINUTE, SESSION_LAST_MINUTE)
 
 
-def _describe(minutes: DataFrame, load_ts: Column | None) -> DataFrame:
+def _describe(minutes: DataFrame, load_ts: Column | dt.datetime | None) -> DataFrame:
     when = F.col("calendar_minute")
     rows = (
         minutes.withColumn("trade_date", F.to_date(when))
@@ -50,13 +50,13 @@ def _describe(minutes: DataFrame, load_ts: Column | None) -> DataFrame:
         .withColumn("minute", F.minute(when))
         .withColumn("is_trading_session", in_session(when))
         .withColumn("session_name", F.when(in_session(when), REGULAR).otherwise(CLOSED))
-        .withColumn("load_ts", F.current_timestamp() if load_ts is None else load_ts)
+        .withColumn("load_ts", F.current_timestamp() if load_ts is None else F.lit(load_ts))
     )
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in DIM_CALENDAR.fields])
 
 
 def dim_calendar(
-    spark: SparkSession, first: dt.date = dt.date(2025, 1, 1), last: dt.date = dt.date(2025, 12, 31), load_ts: Column | None = None
+    spark: SparkSession, first: dt.date = dt.date(2025, 1, 1), last: dt.date = dt.date(2025, 12, 31), load_ts: Column | dt.datetime | None = None
 ) -> DataFrame:
     """One row per minute of the days ``first`` to ``last``, both included."""
     minutes = ((last - first).days + 1) * 1440
@@ -67,7 +67,7 @@ def dim_calendar(
     return _describe(ticks, load_ts)
 
 
-def calendar_of(rows: DataFrame, ts: str, load_ts: Column | None = None) -> DataFrame:
+def calendar_of(rows: DataFrame, ts: str, load_ts: Column | dt.datetime | None = None) -> DataFrame:
     """The calendar of all days that ``rows`` touch, from the first to the last, without gaps."""
     span = rows.agg(F.min(F.to_date(ts)).alias("first"), F.max(F.to_date(ts)).alias("last"))
     days = span.select(F.explode(F.sequence("first", "last")).alias("day"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +19,11 @@ def _loose(name: str) -> Column:
     return F.coalesce(x.number(text), flag).alias(name)
 
 
-def _load_ts(load_ts: Column | None) -> Column:
-    return F.current_timestamp() if load_ts is None else load_ts
+def _load_ts(load_ts: Column | dt.datetime | None) -> Column:
+    return F.current_timestamp() if load_ts is None else F.lit(load_ts)
 
 
-def fact_1s_from_records(records: DataFrame, now_ms: Column | None = None, load_ts: Column | None = None) -> DataFrame:
+def fact_1s_from_records(records: DataFrame, now_ms: Column | None = None, load_ts: Column | dt.datetime | None = None) -> DataFrame:
     """Loose one-second records to typed rows. Records without key, symbol or non-zero times are left out."""
     now = wall_clock_ms() if now_ms is None else now_ms
     zero, nothing = F.lit(0).cast("long"), F.lit(0.0)
@@ -57,7 +59,7 @@ def fact_1s_from_records(records: DataFrame, now_ms: Column | None = None, load_
     )
 
 
-def _typed(rows: DataFrame, schema, load_ts: Column | None) -> DataFrame:
+def _typed(rows: DataFrame, schema, load_ts: Column | dt.datetime | None) -> DataFrame:
     """Cast to the table's types; a number that does not fit stops the job rather than turn into null."""
     stamped = rows.withColumn("load_ts", _load_ts(load_ts))
     return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -71,17 +73,17 @@ def _with_timestamps(bars: DataFrame) -> DataFrame:
     )
 
 
-def fact_1s(bars: DataFrame, load_ts: Column | None = None) -> DataFrame:
+def fact_1s(bars: DataFrame, load_ts: Column | dt.datetime | None = None) -> DataFrame:
     return _typed(_with_timestamps(bars), FACT_1S, load_ts)
 
 
-def fact_60s(minutes: DataFrame, load_ts: Column | None = None) -> DataFrame:
+def fact_60s(minutes: DataFrame, load_ts: Column | dt.datetime | None = None) -> DataFrame:
     """Minute bars (with or without ``minute_index``) to rows of the minute fact table."""
     rows = minutes if "minute_index" in minutes.columns else minutes.withColumn("minute_index", F.lit(None))
     return _typed(_with_timestamps(rows), FACT_60S, load_ts)
 
 
-def fact_300s(five_minutes: DataFrame, load_ts: Column | None = None) -> DataFrame:
+def fact_300s(five_minutes: DataFrame, load_ts: Column | dt.datetime | None = None) -> DataFrame:
     return _typed(_with_timestamps(five_minutes), FACT_300S, load_ts)
 
 

@@ -18,10 +18,6 @@ from tickbars.schemas import PRICE
 from tickbars.settings import BIN_MS, HOUR_MS, SECOND_MS
 
 
-def _grid_up(ts_ms: Column, width_ms: int) -> Column:
-    return ts_ms + F.pmod(-ts_ms, F.lit(width_ms).cast("long"))
-
-
 def with_next_start(bins: DataFrame) -> DataFrame:
     """Add the start of the symbol's next bin; across hours it is handed over from the hour summaries."""
     hourly = bins.withColumn(ordering.CHUNK, x.floor_ms("start_ts_ms", HOUR_MS))
@@ -39,28 +35,21 @@ def with_next_start(bins: DataFrame) -> DataFrame:
 
 def _runs(bins: DataFrame, bin_ms: int) -> DataFrame:
     """The stretches without bins: symbol, carried close, first and end of the stretch."""
-    return (
-        with_next_start(bins)
-        .where(F.col("next_start_ms") > F.col("start_ts_ms") + bin_ms)
-        .select(
-            "symbol",
-            F.col("close").alias("price"),
-            (F.col("start_ts_ms") + bin_ms).alias("run_start"),
-            F.col("next_start_ms").alias("run_end"),
-        )
+    gaps = with_next_start(bins.select("symbol", "start_ts_ms", "close"))
+    return gaps.where(f"next_start_ms > start_ts_ms + {bin_ms}").selectExpr(
+        "symbol", "close AS price", f"start_ts_ms + {bin_ms} AS run_start", "next_start_ms AS run_end"
     )
 
 
 def _cut(runs: DataFrame, width_ms: int) -> DataFrame:
     """Cut runs where windows of ``width_ms`` begin."""
-    windows = F.sequence(
-        x.floor_ms("run_start", width_ms), x.floor_ms(F.col("run_end") - 1, width_ms), F.lit(width_ms).cast("long")
-    )
-    return runs.withColumn("_w", F.explode(windows)).select(
+    first = f"run_start - pmod(run_start, {width_ms}L)"
+    last = f"run_end - 1 - pmod(run_end - 1, {width_ms}L)"
+    return runs.selectExpr("*", f"explode(sequence({first}, {last}, {width_ms}L)) AS _w").selectExpr(
         "symbol",
         "price",
-        F.greatest("run_start", "_w").alias("run_start"),
-        F.least("run_end", F.col("_w") + width_ms).alias("run_end"),
+        "greatest(run_start, _w) AS run_start",
+        f"least(run_end, _w + {width_ms}) AS run_end",
     )
 
 
@@ -72,78 +61,86 @@ def filler_runs(bins: DataFrame, window_ms: int, bin_ms: int = BIN_MS) -> DataFr
     """
     hours = _cut(_runs(bins, bin_ms), HOUR_MS)
     pieces = _cut(hours.repartition("symbol", x.floor_ms("run_start", HOUR_MS)), window_ms)
-    first = _grid_up(F.col("run_start"), bin_ms)
-    last = _grid_up(F.col("run_end"), bin_ms) - bin_ms
-    return (
-        pieces.withColumn("first_ms", first)
-        .withColumn("last_ms", last)
-        .where(F.col("last_ms") >= F.col("first_ms"))
-        .select(
-            "symbol",
-            "price",
-            "first_ms",
-            "last_ms",
-            F.expr(f"(last_ms - first_ms) div {bin_ms} + 1").alias("bin_count"),
-        )
+    placed = pieces.selectExpr(
+        "symbol",
+        "price",
+        f"run_start + pmod(-run_start, {bin_ms}L) AS first_ms",
+        f"run_end + pmod(-run_end, {bin_ms}L) - {bin_ms} AS last_ms",
     )
+    return placed.where("last_ms >= first_ms").selectExpr("*", f"(last_ms - first_ms) div {bin_ms} + 1 AS bin_count")
 
 
-def pieces(bins: DataFrame, window_ms: int, bin_ms: int = BIN_MS) -> DataFrame:
-    """Real bins and filler runs in one layout, ready to be folded by windows of ``window_ms``."""
-    zero = F.lit(0).cast(PRICE)
-    none = F.lit(None).cast("long")
-    real = bins.select(
+def real_pieces(bins: DataFrame) -> DataFrame:
+    """Bins in the layout of pieces: a run of one."""
+    return bins.selectExpr(
         "symbol",
-        F.col("start_ts_ms").alias("first_ms"),
-        F.col("start_ts_ms").alias("last_ms"),
+        "start_ts_ms AS first_ms",
+        "start_ts_ms AS last_ms",
         "open",
         "high",
         "low",
         "close",
         "volume",
         "notional",
-        F.lit(1).cast("long").alias("bin_count"),
+        "1L AS bin_count",
         "api_send_ts_ms",
         "source_event_ts_ms",
     )
-    filler = filler_runs(bins, window_ms, bin_ms).select(
+
+
+def filler_pieces(bins: DataFrame, window_ms: int, bin_ms: int = BIN_MS) -> DataFrame:
+    """Filler runs in the layout of pieces: flat at the carried close, nothing traded."""
+    return filler_runs(bins, window_ms, bin_ms).selectExpr(
         "symbol",
         "first_ms",
         "last_ms",
-        *[F.col("price").alias(c) for c in ("open", "high", "low", "close")],
-        zero.alias("volume"),
-        zero.alias("notional"),
+        "price AS open",
+        "price AS high",
+        "price AS low",
+        "price AS close",
+        "CAST(0 AS DECIMAL(18,6)) AS volume",
+        "CAST(0 AS DECIMAL(18,6)) AS notional",
         "bin_count",
-        none.alias("api_send_ts_ms"),
-        none.alias("source_event_ts_ms"),
+        "CAST(NULL AS BIGINT) AS api_send_ts_ms",
+        "CAST(NULL AS BIGINT) AS source_event_ts_ms",
     )
-    return real.unionByName(filler)
 
 
-def filled_bars(
-    bins: DataFrame, bin_ms: int = BIN_MS, ingest: Column | None = None, keep_grain: bool = False
+def pieces(bins: DataFrame, window_ms: int, bin_ms: int = BIN_MS) -> DataFrame:
+    """Real bins and filler runs in one layout, ready to be folded by windows of ``window_ms``."""
+    return real_pieces(bins).unionByName(filler_pieces(bins, window_ms, bin_ms))
+
+
+def fold_pieces(
+    parts: DataFrame, ingest: Column | None = None, keep_grain: bool = False
 ) -> DataFrame:
-    """One bar for every second between a symbol's first and last bin, as if every bin had been filled in."""
-    parts = pieces(bins, SECOND_MS, bin_ms).withColumn("start_ts_ms", F.col("first_ms"))
+    """One bar per symbol and second out of pieces that do not cross a second."""
     folded = (
-        bar_ops.by_grain(parts)
+        bar_ops.by_grain(parts, "first_ms")
         .groupBy("symbol", bar_ops.GRAIN, x.floor_ms("first_ms", SECOND_MS).alias("bar_start"))
         .agg(
-            F.min_by("open", "first_ms").alias("open"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-            F.max_by("close", "last_ms").alias("close"),
-            F.sum("volume").cast(PRICE).alias("volume"),
-            F.sum("notional").cast(PRICE).alias("notional"),
-            F.sum("bin_count").alias("bin_count"),
-            F.lit(0).cast("long").alias("max_lateness_ms"),
-            F.min("api_send_ts_ms").alias("api_send_ts_ms"),
-            F.min("source_event_ts_ms").alias("source_event_ts_ms"),
+            F.expr("min_by(open, first_ms) AS open"),
+            F.expr("max(high) AS high"),
+            F.expr("min(low) AS low"),
+            F.expr("max_by(close, last_ms) AS close"),
+            F.expr("CAST(sum(volume) AS DECIMAL(18,6)) AS volume"),
+            F.expr("CAST(sum(notional) AS DECIMAL(18,6)) AS notional"),
+            F.expr("sum(bin_count) AS bin_count"),
+            F.expr("0L AS max_lateness_ms"),
+            F.expr("min(api_send_ts_ms) AS api_send_ts_ms"),
+            F.expr("min(source_event_ts_ms) AS source_event_ts_ms"),
         )
     )
     return bar_ops.finish_bars(folded, ingest, keep_grain)
 
 
+def filled_bars(
+    bins: DataFrame, bin_ms: int = BIN_MS, ingest: Column | None = None, keep_grain: bool = False
+) -> DataFrame:
+    """One bar for every second between a symbol's first and last bin, as if every bin had been filled in."""
+    return fold_pieces(pieces(bins, SECOND_MS, bin_ms), ingest, keep_grain)
+
+
 def filled_summary(bins: DataFrame, window_ms: int, bin_ms: int = BIN_MS) -> DataFrame:
     """What the filled bins add up to per symbol and window: count, volume, lowest and highest close."""
     return (

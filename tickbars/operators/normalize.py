@@ -19,8 +19,9 @@ def normalize_ticks(payloads: DataFrame, default_symbol: str = DEFAULT_SYMBOL) -
     The source time is the millisecond field when usable, else the seconds field times 1000.
     """
     size = F.coalesce(x.finite("sz"), F.lit(0.0))
+    carried = [c for c in ("arrival_seq",) if c in payloads.columns]
     return payloads.select(
-        "arrival_seq",
+        *carried,
         F.coalesce(x.non_blank("symbol"), F.lit(default_symbol)).alias("symbol"),
         x.price(x.number("px")).alias("px"),
         x.price(x.number("bid")).alias("bid"),

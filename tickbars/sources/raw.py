@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def land(lines: DataFrame, text: str = "value", load_ts: Column | None = None) -> DataFrame:
+def land(lines: DataFrame, text: str = "value", load_ts: Column | dt.datetime | None = None) -> DataFrame:
     """Lines of JSON to ``record VARIANT, load_ts``; blank lines are skipped."""
     kept = lines.where(F.length(F.trim(text)) > 0)
     return kept.select(
-        F.parse_json(text).alias("record"), (F.current_timestamp() if load_ts is None else load_ts).alias("load_ts")
+        F.parse_json(text).alias("record"), (F.current_timestamp() if load_ts is None else F.lit(load_ts)).alias("load_ts")
     )
 
 
