@@ -46,13 +46,15 @@ def upsert(spark: SparkSession, facts: DataFrame, path: str, staging: str, key:
     run again after a failure ends in the same state.
     """
     batch = with_trade_date(facts)
+    days = _touched_days(batch)
+    if not days:
+        return
+    stored = batch.drop(order or "")
     if exists(spark, path):
-        days = _touched_days(batch)
-        # One day's partition may also hold no row of this batch's keys; it is rewritten as it was.
-        current = spark.read.schema(batch.drop(order or "").schema).parquet(path).where(F.col(PARTITION).isin(days))
-        merged = merge_by_key(current, batch, key, order)
+        current = spark.read.schema(stored.schema).parquet(path).where(F.col(PARTITION).isin(days))
     else:
-        merged = merge_by_key(batch.drop(order or "").limit(0), batch, key, order)
+        current = stored.limit(0)
+    merged = merge_by_key(current, batch, key, order)
     merged.repartition(PARTITION, "symbol").write.mode("overwrite").partitionBy(PARTITION).parquet(staging)
     staged = spark.read.schema(merged.schema).parquet(staging)
     (

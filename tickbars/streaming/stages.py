@@ -88,7 +88,8 @@ class TickPipeline:
         self.now_ms = now_ms
         self.rows_per_chunk = rows_per_chunk
         self.tick_marks = watermark_table(spark, f"{root}/state/tick_watermarks")
-        self.bin_marks = watermark_table(spark, f"{root}/state/bin_watermarks")
+        last = spark.createDataFrame([], "symbol STRING, start_ts_ms BIGINT, close DECIMAL(18,6)")
+        self.last_bins = BatchTable(spark, f"{root}/state/last_bins", last)
         self.open_ticks = OpenRows(spark, f"{root}/state/open_ticks")
         self.open_pieces = OpenRows(spark, f"{root}/state/open_pieces")
         self.open_bars = OpenRows(spark, f"{root}/state/open_bars")
@@ -139,26 +140,17 @@ class TickPipeline:
         folded = bins.fold_ticks(closed, self.settings.bin_ms, self.ingest, order)
         return self._store("bins", batch, folded)
 
-    def _last_bins(self, batch: int) -> BatchTable:
-        schema = "symbol STRING, start_ts_ms BIGINT, close DECIMAL(18,6)"
-        return BatchTable(self.spark, f"{self.root}/state/last_bins", self.spark.createDataFrame([], schema))
-
     def _bins_to_bars(self, new_bins: DataFrame, batch: int, drain: bool) -> DataFrame:
+        """Bins come out of the first stage in order, so a symbol's last bin is its watermark, and its carried price."""
         late_ms, bin_ms = self.settings.max_late_ms, self.settings.bin_ms
         parts = gapfill.real_pieces(new_bins)
-        last = self._last_bins(batch)
-        known = last.before(batch).unionByName(new_bins.select("symbol", "start_ts_ms", "close"))
+        known = self.last_bins.before(batch).unionByName(new_bins.select("symbol", "start_ts_ms", "close"))
         if self.fill_gaps:
             parts = parts.unionByName(gapfill.filler_pieces(known, SECOND_MS, bin_ms))
-        last.write(
-            batch,
-            known.groupBy("symbol").agg(
-                F.max("start_ts_ms").alias("start_ts_ms"), F.max_by("close", "start_ts_ms").alias("close")
-            ),
+        newest = known.groupBy("symbol").agg(
+            F.max("start_ts_ms").alias("start_ts_ms"), F.max_by("close", "start_ts_ms").alias("close")
         )
-        newest = new_bins.groupBy("symbol").agg(F.max("end_ts_ms").alias("watermark_ms"))
-        merged = self.bin_marks.before(batch).unionByName(newest).groupBy("symbol")
-        marks = self.bin_marks.write(batch, merged.agg(F.max("watermark_ms").alias("watermark_ms")))
+        marks = self.last_bins.write(batch, newest).selectExpr("symbol", f"start_ts_ms + {bin_ms} AS watermark_ms")
         end = x.floor_ms("first_ms", SECOND_MS) + SECOND_MS
         closed = self.open_pieces.advance(batch, parts, _all() if drain else _closed_by(marks, end, late_ms))
         return self._store("bars", batch, gapfill.fold_pieces(closed, self.ingest))
