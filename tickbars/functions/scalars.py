@@ -50,8 +50,14 @@ def number(text: Column | str) -> Column:
 
     The lenient cast also reads ``1d``, ``0x1p3``, ``NaN`` and ``Infinity``; the letters of those rule them out.
     """
-    value = col(text)
-    return F.when(~value.rlike(NOT_A_NUMBER), value.try_cast("double"))
+    if isinstance(text, str):
+        return F.expr(number_sql(text))
+    return F.when(~text.rlike(NOT_A_NUMBER), text.try_cast("double"))
+
+
+def number_sql(name: str) -> str:
+    """The same as SQL text, for one column."""
+    return f"CASE WHEN NOT rlike({name}, '{NOT_A_NUMBER}') THEN try_cast({name} AS DOUBLE) END"
 
 
 def whole_ms(text: Column | str) -> Column:

@@ -12,11 +12,10 @@ from tickbars.operators.bins import wall_clock_ms
 from tickbars.schemas import FACT_1S, FACT_60S, FACT_300S, PRICE
 
 
-def _loose(name: str) -> Column:
+def _loose(name: str) -> str:
     """Number of a loosely typed field: booleans count as 1 and 0, blanks and other text as missing."""
-    text = F.col(name).cast("string")
-    flag = F.when(F.lower(text) == "true", 1.0).when(F.lower(text) == "false", 0.0)
-    return F.coalesce(x.number(text), flag).alias(name)
+    flag = f"CASE lower({name}) WHEN 'true' THEN 1D WHEN 'false' THEN 0D END"
+    return f"coalesce({x.number_sql(name)}, {flag}) AS {name}"
 
 
 def _load_ts(load_ts: Column | dt.datetime | None) -> Column:
@@ -26,28 +25,26 @@ def _load_ts(load_ts: Column | dt.datetime | None) -> Column:
 def fact_1s_from_records(records: DataFrame, now_ms: Column | None = None, load_ts: Column | dt.datetime | None = None) -> DataFrame:
     """Loose one-second records to typed rows. Records without key, symbol or non-zero times are left out."""
     now = wall_clock_ms() if now_ms is None else now_ms
-    zero, nothing = F.lit(0).cast("long"), F.lit(0.0)
     whole = ("start_ts_ms", "end_ts_ms", "ingest_ts_ms", "bin_count", "max_lateness_ms")
     real = ("open", "high", "low", "close", "volume", "notional", "vwap")
-    numbers = records.where(F.col("bar_id").isNotNull() & F.col("symbol").isNotNull()).select(
-        "bar_id", "symbol", *[_loose(name) for name in (*whole, *real)]
-    )
-    opened = numbers.withColumn("open", F.coalesce("open", nothing)).withColumn("close", F.coalesce("close", "open"))
-    coerced = opened.select(
+    keyed = records.where("bar_id IS NOT NULL AND symbol IS NOT NULL")
+    texts = keyed.selectExpr("bar_id", "symbol", *[f"CAST({name} AS STRING) AS {name}" for name in (*whole, *real)])
+    numbers = texts.selectExpr("bar_id", "symbol", *[_loose(name) for name in (*whole, *real)]).withColumn("_now", now)
+    coerced = numbers.selectExpr(
         "bar_id",
         "symbol",
-        F.col("start_ts_ms").try_cast("long").alias("start_ms"),
-        F.col("end_ts_ms").try_cast("long").alias("end_ms"),
-        F.coalesce(F.nullif(F.col("ingest_ts_ms").try_cast("long"), zero), now).alias("ingest_ms"),
-        "open",
-        F.coalesce("high", "open").alias("high"),
-        F.coalesce("low", "open").alias("low"),
-        "close",
-        F.coalesce("volume", nothing).alias("volume"),
-        F.coalesce("notional", nothing).alias("notional"),
-        F.coalesce("vwap", "close").alias("vwap"),
-        F.coalesce(F.col("bin_count").try_cast("long"), zero).alias("bin_count"),
-        F.coalesce(F.col("max_lateness_ms").try_cast("long"), zero).alias("max_lateness_ms"),
+        "try_cast(start_ts_ms AS BIGINT) AS start_ms",
+        "try_cast(end_ts_ms AS BIGINT) AS end_ms",
+        "coalesce(nullif(try_cast(ingest_ts_ms AS BIGINT), 0L), _now) AS ingest_ms",
+        "coalesce(open, 0D) AS open",
+        "coalesce(high, open, 0D) AS high",
+        "coalesce(low, open, 0D) AS low",
+        "coalesce(close, open, 0D) AS close",
+        "coalesce(volume, 0D) AS volume",
+        "coalesce(notional, 0D) AS notional",
+        "coalesce(vwap, close, open, 0D) AS vwap",
+        "coalesce(try_cast(bin_count AS BIGINT), 0L) AS bin_count",
+        "coalesce(try_cast(max_lateness_ms AS BIGINT), 0L) AS max_lateness_ms",
     )
     usable = coerced.where((F.col("start_ms") != 0) & (F.col("end_ms") != 0))
     return _typed(
@@ -62,7 +59,7 @@ def fact_1s_from_records(records: DataFrame, now_ms: Column | None = None, load_
 def _typed(rows: DataFrame, schema, load_ts: Column | dt.datetime | None) -> DataFrame:
     """Cast to the table's types; a number that does not fit stops the job rather than turn into null."""
     stamped = rows.withColumn("load_ts", _load_ts(load_ts))
-    return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return stamped.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
 
 
 def _with_timestamps(bars: DataFrame) -> DataFrame:

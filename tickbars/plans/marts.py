@@ -56,15 +56,12 @@ def session_vwap(facts_60s: DataFrame) -> DataFrame:
 def top_movers(facts_300s: DataFrame, as_of: dt.datetime | Column | None = None, limit: int | None = None) -> DataFrame:
     """Symbols by price change over the last fifteen minutes before ``as_of`` (UTC), largest first.
 
-    The change is highest close over lowest open. With ``limit`` only the top rows are kept (a top-k report).
+    The change is highest close over lowest open. With ``limit`` only the top rows are kept (a top-k report). The
+    end filter reaches the scan; the start day is no bound, since a bar built by count may span days.
     """
     now = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
     since = now - F.expr(f"INTERVAL {MOVERS_MINUTES} MINUTES")
     recent = facts_300s.where(F.col("end_ts") >= since)
-    if "trade_date" in facts_300s.columns:
-        # A count-based bar may span days, so only its end is bound; its start day bounds nothing from below
-        # unless bars are clock-aligned. The end filter reaches the scan either way.
-        recent = recent.drop("trade_date")
     opened = F.min("open")
     movers = recent.groupBy("symbol").agg(
         F.max("end_ts").alias("last_bar_end"),

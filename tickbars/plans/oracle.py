@@ -5,6 +5,8 @@ Window functions, dense gap filling and self-joins are used freely here; the ope
 
 from __future__ import annotations
 
+import re
+
 # Named steps; each may refer to the ones before it.
 STEPS: dict[str, str] = {}
 
@@ -185,8 +187,6 @@ _ORDER = list(STEPS)
 
 
 def _needs(text: str, found: set[str]) -> None:
-    import re
-
     words = set(re.findall(r"[a-z_0-9]+", text))
     for name in _ORDER:
         if name in words and name not in found and re.search(rf"(FROM|JOIN)\s+\(?\s*{name}\b", text):
