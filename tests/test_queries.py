@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tickbars.plans.feed import Feed
 from tests.compare import compare, connect
 
 QUERIES = entry.queries()
@@ -29,3 +30,26 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, QUERIES[name], SQL[name]) == []
+
+
+def test_chunked_lane_gives_the_same_bars(spark, sf_dir):
+    """The registered pipeline with many small chunks, as a large input would have."""
+    whole, cut = Feed(spark, sf_dir), Feed(spark, sf_dir, rows_per_chunk=40)
+    assert whole.borders == [] and len(cut.borders) > 10
+    columns = [c for c in whole.bars.columns if c != "grain_ms"]
+    left, right = whole.bars.select(*columns), cut.bars.select(*columns)
+    assert left.exceptAll(right).count() == 0 and right.exceptAll(left).count() == 0
+
+
+def test_plans_have_no_cross_join_and_no_python(spark, sf_dir):
+    """No nested-loop or Cartesian join, and nothing leaves the JVM."""
+    for name, run in QUERIES.items():
+        plan = run(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
+            assert operator not in plan, (name, operator)
+
+
+def test_rollups_share_one_shuffle(spark, sf_dir):
+    feed = Feed(spark, sf_dir)
+    plan = feed.aligned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("Exchange") == 2

@@ -36,10 +36,17 @@ class Feed:
     The one exception are the chunk borders: a row count of the scan and, for large inputs, one quantile sketch.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings | None = None) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        settings: Settings | None = None,
+        rows_per_chunk: int = ordering.ROWS_PER_CHUNK,
+    ) -> None:
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.settings = settings or Settings()
+        self.rows_per_chunk = rows_per_chunk
 
     @cached_property
     def ticks(self) -> DataFrame:
@@ -55,7 +62,7 @@ class Feed:
 
     @cached_property
     def borders(self) -> list[float]:
-        return ordering.chunk_borders(self.ticks, "arrival_seq")
+        return ordering.chunk_borders(self.ticks, "arrival_seq", self.rows_per_chunk)
 
     @cached_property
     def classified(self) -> DataFrame:
