@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickbars.operators import bars, bins, facts, gapfill, lateness, rollups
 from tickbars.plans.feed import emitted_ms
+from tickbars.session import shared_folder
 from tickbars.settings import Settings
 from tickbars.sinks import tables
 from tickbars.sources import ticks as tick_source
@@ -190,3 +192,12 @@ def test_upsert_table(spark, bars_of, tmp_path):
     tables.overwrite(first.limit(2), str(tmp_path / "dim"))
     tables.append(first.limit(1), str(tmp_path / "dim"))
     assert spark.read.parquet(str(tmp_path / "dim")).count() == 3
+
+
+def test_root_defaults_to_the_shared_folder(spark):
+    """The setting is fixed at launch, so a stand-in session carries it here."""
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: "hdfs://shared/"))
+    assert shared_folder(named, "tick-pipeline") == "hdfs://shared/tick-pipeline"
+    if not spark.conf.get("spark.checkpoint.dir", ""):
+        with pytest.raises(ValueError):
+            stages.TickPipeline(spark)

@@ -36,3 +36,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare(spark)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder for stored state under the shared one the cluster names in ``spark.checkpoint.dir``."""
+    base = spark.conf.get("spark.checkpoint.dir", "")
+    if not base:
+        raise ValueError("spark.checkpoint.dir is not set: name a folder on shared storage")
+    return f"{base.rstrip('/')}/{name}"

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickbars.functions import scalars as x
 from tickbars.operators import bars, bins, facts, gapfill, lateness, ordering, rollups
+from tickbars.session import shared_folder
 from tickbars.settings import IDLE_SETTLE_MS, MINUTE_MS, SECOND_MS, SETTLE_GRACE_MS, Settings
 from tickbars.sinks import tables
 from tickbars.streaming.classify import BatchTable, classify_batch, numbered, watermark_table
@@ -64,6 +65,8 @@ def _closed_by(watermarks: DataFrame, end: Column, max_late_ms: int) -> Callable
 class TickPipeline:
     """A ``foreachBatch`` handler from ticks to bins, bars and fact tables under ``root`` on shared storage.
 
+    Without a ``root`` everything goes below the folder the cluster names in ``spark.checkpoint.dir``.
+
     Output: ``bins``, ``bars``, ``minutes`` and ``late_ticks`` with one folder per micro-batch, and the upserted
     tables ``fact_1s``, ``fact_60s`` and ``fact_300s``.
     """
@@ -71,7 +74,7 @@ class TickPipeline:
     def __init__(
         self,
         spark: SparkSession,
-        root: str,
+        root: str | None = None,
         settings: Settings | None = None,
         fill_gaps: bool = True,
         ingest: Column | None = None,
@@ -80,6 +83,7 @@ class TickPipeline:
         rows_per_chunk: int = ordering.ROWS_PER_CHUNK,
     ) -> None:
         self.spark = spark
+        root = shared_folder(spark, "tick-pipeline") if root is None else root
         self.root = root
         self.settings = settings or Settings()
         self.fill_gaps = fill_gaps
