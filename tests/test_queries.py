@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tickbars.plans.catalog import catalog
 from tickbars.plans.feed import Feed
+from tickbars.plans.oracle import oracle
 from tests.compare import compare, connect
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +24,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.columns[:4] == ["bar_id", "symbol", "start_ts_ms", "end_ts_ms"]
