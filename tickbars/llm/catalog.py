@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickbars.llm import queries_chat, queries_rules, queries_tokens
+from tickbars.llm import (
+    queries_chat,
+    queries_decontam,
+    queries_linechunks,
+    queries_neardup,
+    queries_packing,
+    queries_rules,
+    queries_tokens,
+)
 
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": queries_chat.op1_chat_format,
         "op2_token_count": queries_tokens.op2_token_count,
+        "op4_minhash_near_dedup": queries_neardup.op4_minhash_near_dedup,
+        "op5_best_fit_pack": queries_packing.op5_best_fit_pack,
+        "op6_decontaminate": queries_decontam.op6_decontaminate,
+        "op8_line_dedup": queries_linechunks.op8_line_dedup,
         "op10_quality_rules": queries_rules.op10_quality_rules,
     }
 
 
 def oracle() -> dict[str, str]:
-    return {"op1_chat_format": queries_chat.OP1_SQL}
+    return {"op1_chat_format": queries_chat.OP1_SQL, "op6_decontaminate": queries_decontam.OP6_SQL}

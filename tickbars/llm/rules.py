@@ -15,15 +15,15 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from tickbars.llm.shared import blocks, column_of, named
+from tickbars.llm.shared import blocks, mapped, texts_of
 from tickbars.llm.spans import SPACES, buffers, find_words, span_hashes, window_hashes, windows
 
 SYMBOLS = b"#*$%&|<>"
 SPACE_BYTES = bytes(np.flatnonzero(SPACES).tolist())
 
 SCHEMA = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, whole_ratio double, "
-    "repetitive_bytes long, incompressible_bytes long, base_failed boolean, kept boolean, reason string"
+    "n_words long; word_chars long; n_symbols long; n_dup_lines long; n_repeat_words long; whole_ratio double; "
+    "repetitive_bytes long; incompressible_bytes long; base_failed boolean; kept boolean; reason string"
 )
 
 
@@ -72,21 +72,21 @@ def repeat_words(hashes: np.ndarray, first: np.ndarray, size: int) -> np.ndarray
     return _sums(np.cumsum(cover[:-1]) > 0, first)
 
 
-def _judge(rules: Rules, keep: list[str], names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _judge(rules: Rules):
+    kinds = [pa.int64()] * 5 + [pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         packer = zstandard.ZstdCompressor(level=rules.level)
-        for block in blocks(batches, "__text"):
-            data, offsets = buffers(column_of(block, "__text"))
+        for block in blocks(batches):
+            data, offsets = buffers(texts_of(block))
             words = find_words(data, offsets)
             n = words.counts
-            hashes = span_hashes(data, words.start, words.end)
-            repeats = repeat_words(hashes, words.first, rules.repeat_window)
-            lead = (data & 0xC0) != 0x80
-            word_chars = _sums(lead & ~SPACES[data], offsets)
+            repeats = repeat_words(span_hashes(data, words.start, words.end), words.first, rules.repeat_window)
+            word_chars = _sums(((data & 0xC0) != 0x80) & ~SPACES[data], offsets)
+            raw = data.tobytes()
             rows = []
-            raw = memoryview(np.ascontiguousarray(data)).cast("B") if len(data) else memoryview(b"")
             for i in range(len(n)):
-                text = bytes(raw[offsets[i] : offsets[i + 1]])
+                text = raw[offsets[i] : offsets[i + 1]]
                 lines = [x for x in text.split(b"\n") if x.strip()]
                 symbols = len(text) - len(text.translate(None, SYMBOLS))
                 too = {1: 0, -1: 0, 0: 0}
@@ -103,32 +103,30 @@ def _judge(rules: Rules, keep: list[str], names: list[str]):
                 over = [100 * too[k] > rules.max_chunk_percent * len(text) for k in (1, -1)]
                 reason = base or {1: "repetitive", -1: "incompressible", 0: ""}[whole]
                 reason = reason or ("repetitive_chunks" if over[0] else "incompressible_chunks" if over[1] else "")
-                rows.append((int(n[i]), int(word_chars[i]), symbols, len(lines) - len(set(lines)), int(repeats[i]), ratio, too[1], too[-1], bool(base), not reason, reason or None))
-            kinds = [pa.int64()] * 5 + [pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()]
-            columns = zip(*rows, strict=True)
-            out = [column_of(block, f"__keep{k}") for k in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*out, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=names)
+                dup_lines = len(lines) - len(set(lines))
+                counts = (int(n[i]), int(word_chars[i]), symbols, dup_lines, int(repeats[i]))
+                rows.append((*counts, ratio, too[1], too[-1], bool(base), not reason, reason or None))
+            yield block, [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
 
     return run
 
 
-def judge_quality(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", rules: Rules = Rules(), prefix: str = "") -> DataFrame:
+def judge_quality(
+    docs: DataFrame,
+    keep: tuple[str, ...] = ("doc_id",),
+    text_col: str = "text",
+    rules: Rules = Rules(),
+    prefix: str = "",
+    only_kept: bool = False,
+) -> DataFrame:
     """The columns ``keep`` of every row, then the measures and verdict of its text, each name after ``prefix``.
 
     ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, whole_ratio, repetitive_bytes, incompressible_bytes,
     base_failed, kept, reason``. A text is kept if it has ``min_words`` words, no more than ``max_repeat_percent`` of
     them in repeated windows, a ratio in band, and no more than ``max_chunk_percent`` of its bytes in chunks that are
-    out of band on one side.
+    out of band on one side. With ``only_kept`` rejected rows are left out.
 
     Rows are judged one by one, without a shuffle: repeated rows and ties get equal verdicts, null or empty texts have no
     words and fail, nulls elsewhere pass through, other columns are ignored, an empty table gives no rows.
     """
-    made = [prefix + x.split()[0] for x in SCHEMA.split(", ")]
-    if set(made) & set(keep):
-        raise ValueError(f"{sorted(set(made) & set(keep))}: choose a prefix")
-    fields = [f"__keep{k}" for k in range(len(keep))]
-    picked = docs.select(*(named(c).alias(f) for c, f in zip(keep, fields, strict=True)), named(text_col).cast("string").alias("__text"))
-    quoted = lambda x: "`" + x.replace("`", "``") + "`"
-    kept = [f"{quoted(c)} {picked.schema[f].dataType.simpleString()}" for c, f in zip(keep, fields, strict=True)]
-    schema = ", ".join([*kept, *(f"{quoted(m)} {x.split()[1]}" for m, x in zip(made, SCHEMA.split(", "), strict=True))])
-    return picked.mapInArrow(_judge(rules, fields, [*keep, *made]), schema)
+    return mapped(docs, keep, text_col, SCHEMA, _judge(rules), prefix, "kept" if only_kept else None)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -31,21 +31,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def named(column: str) -> Column:
     """A column by its exact name, dots included."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(quoted(column))
+
+
+def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
 
+def texts_of(batch: pa.RecordBatch, name: str = "__text") -> pa.Array:
+    """A column of text or bytes with nulls as empty."""
+    texts = column_of(batch, name)
+    return texts.fill_null("" if pa.types.is_string(texts.type) else b"") if texts.null_count else texts
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about ``limit`` bytes of ``column`` at most, one row at least; text nulls are empty."""
+
+def blocks(batches: Iterator[pa.RecordBatch], column: str = "__text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``limit`` bytes of ``column`` at most, one row at least."""
     for batch in batches:
-        at = batch.schema.get_field_index(column)
-        texts = batch.column(at)
-        if texts.null_count:
-            texts = texts.fill_null("" if pa.types.is_string(texts.type) else b"")
-            batch = batch.set_column(at, column, texts)
         start, size = 0, 0
-        for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
+        for i, n in enumerate(pa.compute.binary_length(column_of(batch, column)).to_pylist()):
+            n = n or 0
             if i > start and size + n > limit:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
@@ -54,5 +64,36 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
             yield batch.slice(start)
 
 
-def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
+def mapped(
+    docs: DataFrame,
+    keep: tuple[str, ...],
+    text_col: str,
+    made: str,
+    task: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, list[pa.Array]]]],
+    prefix: str = "",
+    where: str | None = None,
+) -> DataFrame:
+    """The columns ``keep`` of every row beside the columns ``made`` (a schema) that ``task`` finds, without a shuffle.
+
+    ``task`` gets batches with the text as ``__text`` and yields each block with its new columns; with ``where``, rows
+    whose new boolean column of that name is false are dropped.
+    """
+    fields = [x.strip().split(" ", 1) for x in made.split(";")]
+    names = [prefix + n for n, _ in fields]
+    if set(names) & set(keep):
+        raise ValueError(f"{sorted(set(names) & set(keep))}: choose a prefix")
+    own = [f"__keep{k}" if c != text_col else "__text" for k, c in enumerate(keep)]
+    columns = {f: named(c).alias(f) for c, f in zip(keep, own, strict=True)}
+    columns["__text"] = named(text_col).cast("string").alias("__text")
+    picked = docs.select(*columns.values())
+    kinds = [picked.schema[f].dataType.simpleString() for f in own]
+    schema = ", ".join(f"{quoted(n)} {k}" for n, k in [*zip(keep, kinds, strict=True), *zip(names, (t for _, t in fields), strict=True)])
+    at = [n for n, _ in fields].index(where) if where else None
+    all_names = [*keep, *names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, found in task(batches):
+            out = pa.RecordBatch.from_arrays([*(column_of(block, f) for f in own), *found], names=all_names)
+            yield out if at is None else out.filter(found[at])
+
+    return picked.mapInArrow(run, schema)

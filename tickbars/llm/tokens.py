@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from tickbars.llm.shared import blocks, column_of, named
+from tickbars.llm.shared import blocks, mapped, texts_of
 
 #: Pre-token rules of the vocabulary; the second form is the same for texts of ASCII characters.
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -112,17 +112,15 @@ class Counter:
         return sum(a for a, _ in counts), sum(b for _, b in counts) + len(parts) - 1
 
 
-def _count(shared, fields: list[str], names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         source, proved = shared.value
         counter = Counter(Vocabulary(source), proved)
-        for block in blocks(batches, "__text"):
-            texts = column_of(block, "__text")
+        for block in blocks(batches):
+            texts = texts_of(block)
             counts = [counter.count(t) for t in texts.to_pylist()]
             size = pa.compute.binary_length(texts).cast(pa.int64())
-            total, whole = ([a + b for a, b in counts], [a for a, _ in counts])
-            keep = [column_of(block, f) for f in fields]
-            yield pa.RecordBatch.from_arrays([*keep, size, pa.array(total, pa.int64()), pa.array(whole, pa.int64())], names=names)
+            yield block, [size, pa.array([a + b for a, b in counts], pa.int64()), pa.array([a for a, _ in counts], pa.int64())]
 
     return run
 
@@ -140,8 +138,4 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     source = Path(vocabulary_path).read_text()
     proved = Vocabulary(source).prove()
     shared = docs.sparkSession.sparkContext.broadcast((source, proved))
-    picked = docs.select(named(id_col).alias("__id"), named(text_col).cast("string").alias("__text"))
-    kind = picked.schema["__id"].dataType.simpleString()
-    quoted = "`" + id_col.replace("`", "``") + "`"
-    schema = f"{quoted} {kind}, n_bytes long, n_tokens long, n_whole long"
-    return picked.mapInArrow(_count(shared, ["__id"], [id_col, "n_bytes", "n_tokens", "n_whole"]), schema)
+    return mapped(docs, (id_col,), text_col, "n_bytes long; n_tokens long; n_whole long", _count(shared))
