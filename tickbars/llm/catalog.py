@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickbars.llm import (
     queries_chat,
     queries_decontam,
+    queries_licences,
     queries_linechunks,
     queries_neardup,
     queries_packing,
@@ -21,6 +22,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": queries_chat.op1_chat_format,
         "op2_token_count": queries_tokens.op2_token_count,
+        "op3_license_scan": queries_licences.op3_license_scan,
         "op4_minhash_near_dedup": queries_neardup.op4_minhash_near_dedup,
         "op5_best_fit_pack": queries_packing.op5_best_fit_pack,
         "op6_decontaminate": queries_decontam.op6_decontaminate,
@@ -30,4 +32,8 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle() -> dict[str, str]:
-    return {"op1_chat_format": queries_chat.OP1_SQL, "op6_decontaminate": queries_decontam.OP6_SQL}
+    return {
+        "op1_chat_format": queries_chat.OP1_SQL,
+        "op3_license_scan": queries_licences.OP3_SQL,
+        "op6_decontaminate": queries_decontam.OP6_SQL,
+    }
