@@ -13,6 +13,7 @@ from tickbars.llm import (
     queries_linechunks,
     queries_neardup,
     queries_packing,
+    queries_quality,
     queries_rules,
     queries_tokens,
 )
@@ -26,6 +27,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_minhash_near_dedup": queries_neardup.op4_minhash_near_dedup,
         "op5_best_fit_pack": queries_packing.op5_best_fit_pack,
         "op6_decontaminate": queries_decontam.op6_decontaminate,
+        "op7_quality_classifier": queries_quality.op7_quality_classifier,
         "op8_line_dedup": queries_linechunks.op8_line_dedup,
         "op10_quality_rules": queries_rules.op10_quality_rules,
     }
