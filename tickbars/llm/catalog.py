@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickbars.llm import (
     queries_chat,
     queries_decontam,
+    queries_exactdedup,
     queries_licences,
     queries_linechunks,
     queries_neardup,
@@ -29,6 +30,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_decontaminate": queries_decontam.op6_decontaminate,
         "op7_quality_classifier": queries_quality.op7_quality_classifier,
         "op8_line_dedup": queries_linechunks.op8_line_dedup,
+        "op9_suffix_dedup": queries_exactdedup.op9_suffix_dedup,
         "op10_quality_rules": queries_rules.op10_quality_rules,
     }
 
