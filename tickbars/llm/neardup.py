@@ -125,7 +125,8 @@ def _sign(plan: Plan):
                     keys[i], odd[i] = band.tolist(), sketch.tobytes()
             columns = [pa.array(np.diff(first)), pa.array(nodes, pa.binary())]
             columns += [pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.binary())]
-            yield pa.RecordBatch.from_arrays([column_of(block, "__id"), *columns], names=["id", "n", "node", "bands", "sketch"])
+            own = [column_of(block, c) for c in ("__id", "k1", "k2")]
+            yield pa.RecordBatch.from_arrays([*own, *columns], names=["id", "k1", "k2", "n", "node", "bands", "sketch"])
 
     return run
 
@@ -300,6 +301,28 @@ class Search:
             leaders_each = min(4 * leaders_each, 64)
 
 
+def _row_keys() -> list:
+    """96 bits that tell rows apart by id and text, nulls included."""
+    return [F.xxhash64("__id", "__text").alias("k1"), F.hash("__id", "__text").alias("k2")]
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, plan: Plan) -> DataFrame:
+    """``id, k1, k2, n, root, component_id`` of every row; the root (of texts with words) names the component."""
+    only = docs.select(named(id_col).alias("__id"), named(text_col).cast("string").alias("__text"))
+    kind = only.schema["__id"].dataType.simpleString()
+    schema = f"id {kind}, k1 long, k2 int, n long, node binary, bands array<long>, sketch binary"
+    signed = stored(only.select("*", *_row_keys()).mapInArrow(_sign(plan), schema), "signatures")
+    firsts = [F.first(c).alias(c) for c in ("n", "bands", "sketch")]
+    reps = stored(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), *firsts), "classes")
+    roots = Search(only, reps, plan).links()
+    linked = reps.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    best = linked.groupBy("root").agg(F.min("id").alias("component_id"))
+    label = linked.join(best, "root").select("node", "root", "component_id")
+    out = signed.select("id", "k1", "k2", "n", "node").join(label, "node", "left")
+    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return out.select("id", "k1", "k2", "n", "root", component.alias("component_id"))
+
+
 def find_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", plan: Plan = Plan()) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of every row.
 
@@ -313,17 +336,31 @@ def find_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Signatures, sets of candidate classes and link tables are written to the shared folder.
     """
-    only = docs.select(named(id_col).alias("__id"), named(text_col).cast("string").alias("__text"))
-    kind = only.schema["__id"].dataType.simpleString()
-    signed = only.mapInArrow(_sign(plan), f"id {kind}, n long, node binary, bands array<long>, sketch binary")
-    signed = stored(signed, "signatures")
-    firsts = [F.first(c).alias(c) for c in ("n", "bands", "sketch")]
-    reps = stored(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), *firsts), "classes")
-    roots = Search(only, reps, plan).links()
-    linked = reps.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    best = linked.groupBy("root").agg(F.min("id").alias("component_id"))
-    label = linked.join(best, "root").select("node", "component_id")
-    out = signed.select("id", "n", "node").join(label, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
-    return out.withColumn("kept", named(id_col).eqNullSafe(F.col("component_id")))
+    marked = _marked(docs, id_col, text_col, plan)
+    return marked.select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", plan: Plan = Plan()) -> DataFrame:
+    """The rows of ``docs``, all columns, less all but one of each component of ``find_near_duplicates``.
+
+    The row with the smallest id stays (null ids last; rows that share it go by a hash). Texts without words all stay,
+    but of rows that repeat id and text one stays.
+    """
+    marked = _marked(docs, id_col, text_col, plan)
+    least = F.min(F.struct(F.col("id").isNull(), "id", "k1", "k2")).alias("least")
+    winners = marked.where("root IS NOT NULL").groupBy("root").agg(least).select("least.k1", "least.k2")
+    winners = winners.unionByName(marked.where("root IS NULL").select("k1", "k2"))
+    columns = docs.columns
+    fields = [f"__c{k}" for k in range(len(columns))]
+    rows = docs.select(
+        *(named(c).alias(f) for c, f in zip(columns, fields, strict=True)),
+        named(id_col).alias("__id"),
+        named(text_col).cast("string").alias("__text"),
+    )
+    rows = rows.select(*fields, *_row_keys()).dropDuplicates(["k1", "k2"]).join(winners, ["k1", "k2"], "semi")
+    return rows.select(*(F.col(f).alias(c) for c, f in zip(columns, fields, strict=True)))
