@@ -200,11 +200,13 @@ def drop_repeated_chunks(
     place = F.struct("id", "number")
     repeated = places.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = repeated.where(~F.col("first").eqNullSafe(F.col("last"))).select("hash", "first")
+    # Stored before a join, an aggregate is one more plain side of it, and the side of a hot chunk can be split.
+    repeated = stored(repeated, "repeated-chunks")
     asked = places.join(repeated, "hash").withColumn("is_first", place.eqNullSafe(F.col("first")))
     asked = asked.groupBy("id").agg(F.collect_set(F.struct("number", "hash", F.col("is_first").alias("first"))).alias("places"))
     bodies = only.join(asked, F.col("__id").eqNullSafe(F.col("id"))).drop("id")
     copies = stored(bodies.mapInArrow(_chunk_bytes(cutting), f"{chunk}, first boolean, bytes binary"), "chunk-bytes")
-    kept = copies.where("first").groupBy("hash").agg(F.first("bytes").alias("kept"))
+    kept = stored(copies.where("first").groupBy("hash").agg(F.first("bytes").alias("kept")), "kept-chunks")
     gone = copies.where("NOT first").join(kept, "hash").where("bytes = kept")
     gone = gone.groupBy("id").agg(F.collect_set(F.struct("number", "hash")).alias("gone"))
     joined = picked.join(gone, F.col("__id").eqNullSafe(F.col("id")), "left").drop("id")
