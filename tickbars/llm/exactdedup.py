@@ -277,11 +277,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     row = f"id {kind}, print long, first long, last long, anchor long, key long, body long"
     every = stored(picked.mapInArrow(_find_runs(plan), row), "runs")
     shared = every.groupBy("key").agg(F.count("*").alias("n"), F.min("body").alias("low"), F.max("body").alias("high"))
-    shared = shared.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("mixed"))
+    # Stored before a join, an aggregate is one more plain side of it, and the side of a hot anchor can be split.
+    shared = stored(shared.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("mixed")), "shared-keys")
     found = stored(every.join(shared, "key"), "shared-runs")
 
     place = F.struct("id", "print", "first", "last", "anchor")
-    bodies = found.groupBy("key", "body").agg(F.count("*").alias("n"), F.min(place).alias("one"), F.first("mixed").alias("mixed"))
+    bodies = found.groupBy("key", "body").agg(F.count("*").alias("n"), F.min(place).alias("one"), F.max("mixed").alias("mixed"))
+    bodies = stored(bodies, "bodies")
     asked = bodies.where("mixed").groupBy(F.col("one.id").alias("id"), F.col("one.print").alias("print"))
     asked = asked.agg(F.collect_list(F.struct("one.first", "one.last", "one.anchor", "key", "body")).alias("asked"))
     same_row = F.col("__id").eqNullSafe(F.col("id")) & (F.col("__print") == F.col("print"))
@@ -307,7 +309,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         width = -(-width // plan.parts)
         slices = slices.join(crowds.select("key"), "key", "semi").mapInArrow(_split(plan, width), SLICE)
 
-    per = answers.groupBy("root", "body").agg(F.max(F.col("high").isNull()).alias("whole"), F.collect_set(F.struct("high", "low")).alias("parts"))
+    parts = F.collect_list(F.struct("high", "low")).alias("parts")
+    per = answers.distinct().groupBy("root", "body").agg(F.max(F.col("high").isNull()).alias("whole"), parts)
+    per = stored(per, "answers")
     spans = found.join(per.withColumnRenamed("root", "key"), ["key", "body"]).select(
         "id",
         "print",
