@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 from tickbars.operators import lateness, ordering
 
@@ -40,24 +41,35 @@ def test_chunks_agree_with_brute_force_on_a_hot_symbol(spark, ticks_of):
         now += rng.randint(0, 40)
         rows.append((rng.choice(["HOT", "HOT", "HOT", "A", "B"]), now - rng.choice([0, 0, 0, 300, 900]), 1, 1))
     frame = ticks_of(rows)
-    borders = ordering.chunk_borders(frame, "arrival_seq", rows_per_chunk=50)
-    assert len(borders) >= 10
-    assert _run(frame, borders=borders) == _lateness(rows)
-    sizes = ordering.with_chunk(frame, "arrival_seq", borders).groupBy(ordering.CHUNK).count().collect()
-    assert max(r["count"] for r in sizes) <= 100
+    assert _run(frame, rows_per_chunk=50) == _lateness(rows)
+    sizes = _sizes(frame, 50)
+    assert len(sizes) >= 10 and max(sizes) <= 100
 
 
 def test_chunks_hold_when_all_rows_share_one_time(spark, ticks_of):
     rows = [("HOT", 5_000, 1, 1)] * 300
     frame = ticks_of(rows)
-    borders = ordering.chunk_borders(frame, "arrival_seq", rows_per_chunk=30)
-    sizes = ordering.with_chunk(frame, "arrival_seq", borders).groupBy(ordering.CHUNK).count().collect()
-    assert max(r["count"] for r in sizes) <= 60
-    assert _run(frame, borders=borders) == [(i, 0) for i in range(300)]
+    assert max(_sizes(frame, 30)) <= 60
+    assert _run(frame, rows_per_chunk=30) == [(i, 0) for i in range(300)]
 
 
-def test_small_inputs_need_no_borders(ticks_of):
-    assert ordering.chunk_borders(ticks_of([("A", 1, 1, 1)]), "arrival_seq") == []
+def test_one_plan_at_every_size(spark, ticks_of):
+    """Few and many chunks run the same operators, and nothing runs while the plan is built."""
+
+    def operators(frame, rows_per_chunk):
+        judged = lateness.with_lateness(frame, "arrival_seq", "event_ts_ms", rows_per_chunk=rows_per_chunk)
+        plan = judged._jdf.queryExecution().optimizedPlan().toString()
+        return re.findall(r"^[ :+-]*([A-Z][A-Za-z]+)", plan, re.MULTILINE)
+
+    frame = ticks_of([("A", i, 1, 1) for i in range(50)])
+    assert operators(frame, 10) == operators(frame, 1_000_000)
+    assert "Window" in operators(frame, 10)
+    assert _sizes(frame, 1_000_000) == [50] and _sizes(frame.limit(0), 10) == []
+
+
+def _sizes(frame, rows_per_chunk):
+    chunk = ordering.even_chunk(frame, "arrival_seq", rows_per_chunk)
+    return [r["count"] for r in frame.groupBy(chunk.alias("chunk")).count().collect()]
 
 
 def test_counts(ticks_of):

@@ -201,3 +201,131 @@ def test_root_defaults_to_the_shared_folder(spark):
     if not spark.conf.get("spark.checkpoint.dir", ""):
         with pytest.raises(ValueError):
             stages.TickPipeline(spark)
+
+
+def _facts_of(spark, root, name):
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def test_settled_minute_is_one_row(spark, ticks_of, tmp_path):
+    """A minute given early grows with each batch and stays one row; a repeated batch changes nothing."""
+    rows = [("A", T0 + 1000, 1, 10), ("A", T0 + 12_000, 2, 20), ("A", T0 + 24_000, 3, 3), ("A", T0 + 36_000, 4, 2), ("A", T0 + 40_000, 4, 0)]
+    frame = ticks_of(rows)
+    clock = [T0 + 100_000]
+    root = str(tmp_path)
+    pipeline = stages.TickPipeline(spark, root, Settings(flush_minutes=1), False, ingest=emitted_ms(), load_ts=LOAD, now_ms=lambda: clock[0])
+    for batch, (low, high) in enumerate([(0, 1), (2, 2), (3, 4)]):
+        pipeline(frame.where(F.col("arrival_seq").between(low, high)), batch)
+        clock[0] += 150_000
+    got = _facts_of(spark, root, "fact_60s").collect()
+    assert len(got) == 1 and got[0].minute_index is None
+    pipeline.drain(3, frame)
+    pipeline.drain(3, frame)
+    got = _facts_of(spark, root, "fact_60s").collect()
+    assert [(float(r.volume), r.minute_index, r.source_count) for r in got] == [(35.0, 0, 5)]
+    five = _facts_of(spark, root, "fact_300s").collect()
+    assert [float(r.volume) for r in five] == [35.0]
+
+
+def test_clock_is_read_once_per_batch(spark, ticks_of, tmp_path):
+    clock = [T0 + 200_000]
+    pipeline = stages.TickPipeline(spark, str(tmp_path), ingest=emitted_ms(), load_ts=LOAD, now_ms=lambda: clock[0])
+    assert pipeline._settle_before(0) == T0 + 198_000
+    clock[0] += 500_000
+    assert pipeline._settle_before(0) == T0 + 198_000
+    fresh = stages.TickPipeline(spark, str(tmp_path), ingest=emitted_ms(), load_ts=LOAD, now_ms=lambda: clock[0])
+    assert fresh._settle_before(0) == T0 + 198_000
+    assert fresh._settle_before(1) == T0 + 698_000
+    clock[0] += 10
+    assert fresh._settle_before(2) is None
+
+
+def test_bins_topic_drained_equals_batch(spark, tick_files):
+    """Bins delivered twice and out of order become the bars of the batch operators."""
+    frame, _, tmp = tick_files
+    accepted = lateness.accepted(lateness.with_lateness(frame, "arrival_seq", "event_ts_ms"))
+    made = bins.fold_ticks(accepted, ingest=emitted_ms())
+    late = F.expr("(start_ts_ms div 10) * 7919 % 9000")
+    arriving = made.withColumn("arrival_seq", (F.col("end_ts_ms") + late) * 2000 + F.crc32("bin_id") % 1000 * 2)
+    twice = arriving.unionByName(arriving.withColumn("arrival_seq", F.col("arrival_seq") + 1)).persist()
+    root = str(tmp / "bins_out")
+    pipeline = stages.BinPipeline(spark, root, Settings(flush_minutes=2), ingest=emitted_ms(), load_ts=LOAD)
+    cuts = [r[0] for r in twice.select("arrival_seq").orderBy("arrival_seq").collect()]
+    borders = [cuts[0], cuts[len(cuts) // 3], cuts[2 * len(cuts) // 3], cuts[-1] + 1]
+    for batch, (low, high) in enumerate(zip(borders, borders[1:])):
+        pipeline(twice.where((F.col("arrival_seq") >= low) & (F.col("arrival_seq") < high)), batch)
+    pipeline.drain(3, twice)
+
+    judged = lateness.with_lateness(twice, "arrival_seq", "end_ts_ms")
+    good = bins.dedupe(lateness.accepted(judged))
+    assert lateness.late(judged).count() > 5
+    expected = bars.fold_bins(good, ingest=emitted_ms())
+    stream_bars = _read(spark, f"{root}/bars")
+    _same(stream_bars, expected, "bar_id", "open", "close", "volume", "notional", "bin_count")
+    assert _read(spark, f"{root}/late_bins").count() == lateness.late(judged).count()
+    minutes = rollups.minute_bars(expected)
+    expected_60 = facts.fact_60s(rollups.minute_index(minutes, 2), LOAD)
+    _same(_facts_of(spark, root, "fact_60s"), expected_60, *expected_60.columns)
+    sent = spark.read.option("recursiveFileLookup", True).json(f"{root}/messages/bars")
+    _same(sent, expected.select(F.col("bar_id").alias("key")), "key")
+
+
+def test_bars_topic_drained_equals_batch(spark, bars_of, tmp_path):
+    """Bars with holes and copies become facts; a second that comes late joins its flushed minute and its five minutes."""
+    made = bars_of([("A", T0 + i * 1000, 1 + i % 7, 1 + i % 3) for i in range(0, 400, 3)])
+    thin = made.withColumn("high", F.when(F.col("start_ts_ms") % 2000 == 0, F.col("high"))).withColumn("arrival_seq", F.col("start_ts_ms"))
+    root = str(tmp_path)
+    pipeline = stages.BarPipeline(spark, root, Settings(flush_minutes=2), ingest=F.lit(T0).cast("long"), load_ts=LOAD)
+    held = F.col("start_ts_ms") == T0 + 30_000
+    pipeline(thin.where((F.col("start_ts_ms") < T0 + 200_000) & ~held), 0)
+    pipeline(thin.where(F.col("start_ts_ms") >= T0 + 150_000), 1)
+    pipeline(thin.where(held), 2)
+    pipeline.drain(3, thin)
+    minutes = rollups.minute_bars(rollups.with_defaults(made))
+    expected_60 = facts.fact_60s(rollups.minute_index(minutes, 2), LOAD)
+    _same(_facts_of(spark, root, "fact_60s"), expected_60, "bar_id", "open", "close", "volume", "notional", "source_count", "minute_index")
+    expected_300 = facts.fact_300s(rollups.counted_batches(minutes, 2), LOAD)
+    assert expected_300.count() == 3
+    _same(_facts_of(spark, root, "fact_300s"), expected_300, "bar_id", "open", "close", "volume", "notional", "minute_count", "source_count")
+    assert _facts_of(spark, root, "fact_1s").count() == made.count()
+
+
+def test_files_of_a_batch_arrive_by_time(spark, tmp_path):
+    """An early short file and a later long one in one micro-batch: Spark reads the long one first."""
+    import os
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    line = '{{"symbol":"A","px":1,"sz":1,"event_ts":{}}}'.format
+    (folder / "z_early.ndjson").write_text("\n".join(line((T0 + i) / 1000) for i in range(5)))
+    (folder / "a_later.ndjson").write_text("\n".join(line((T0 + 60_000 + i) / 1000) for i in range(500)))
+    os.utime(folder / "z_early.ndjson", (1_700_000_000, 1_700_000_000))
+    os.utime(folder / "a_later.ndjson", (1_700_000_100, 1_700_000_100))
+    from tickbars.operators import normalize
+
+    stream = normalize.valid_ticks(normalize.normalize_ticks(tick_source.stream_ndjson(spark, str(folder))))
+    pipeline = stages.TickPipeline(spark, str(tmp_path / "out"), fill_gaps=False, ingest=emitted_ms(), load_ts=LOAD)
+    stages.start(stream, pipeline, str(tmp_path / "cp"), until_idle=True).awaitTermination()
+    assert _read(spark, f"{tmp_path}/out/late_ticks").count() == 0
+
+
+def test_upsert_after_a_crash(spark, bars_of, tmp_path):
+    """A batch that died while its hours were published is finished from staging, not merged with what is left."""
+    path, staging = str(tmp_path / "fact"), str(tmp_path / "staging")
+    tables.upsert(spark, facts.fact_1s(bars_of([("A", T0, 1, 1), ("A", T0 + 1000, 2, 1)]), LOAD), path, f"{staging}/0", batch=0)
+    second = facts.fact_1s(bars_of([("A", T0, 9, 1)]), LOAD)
+    tables.upsert(spark, second, path, f"{staging}/1", batch=1)
+    import shutil
+
+    shutil.rmtree(next((tmp_path / "fact").glob("trade_date=*")))  # the hours are gone, as after half a swap
+    tables.upsert(spark, second, path, f"{staging}/1", batch=1)
+    assert sorted(float(r.close) for r in spark.read.parquet(path).collect()) == [2.0, 9.0]
+
+
+def test_old_state_does_not_pile_up(spark, ticks_of, tmp_path):
+    frame = ticks_of([("A", T0 + i * 400, 1, 1) for i in range(30)])
+    pipeline = stages.TickPipeline(spark, str(tmp_path), ingest=emitted_ms(), load_ts=LOAD)
+    for batch in range(6):
+        pipeline(frame.where(F.col("arrival_seq").between(batch * 5, batch * 5 + 4)), batch)
+    for name in ("watermarks", "open_rows", "open_pieces", "open_bars", "open_minutes", "last_bins"):
+        assert len(list((tmp_path / "state" / name).glob("slot=*"))) == 4

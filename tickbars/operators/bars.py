@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickbars.functions import scalars as x
 from tickbars.operators.bins import wall_clock_ms
-from tickbars.schemas import PRICE
+from tickbars.schemas import PRICE, WIDE
 from tickbars.settings import FIVE_MINUTES_MS, SECOND_MS, UNKNOWN_SYMBOL
 
 # Fixed value: the source tag the bar contract demands.
@@ -66,8 +66,8 @@ def fold_bins(
             F.expr("max(high) AS high"),
             F.expr("min(low) AS low"),
             F.expr(f"max_by(close, {order}) AS close"),
-            F.expr("CAST(sum(volume) AS DECIMAL(18,6)) AS volume"),
-            F.expr("CAST(sum(notional) AS DECIMAL(18,6)) AS notional"),
+            F.expr("CAST(sum(volume) AS DECIMAL(38,6)) AS volume"),
+            F.expr("CAST(sum(notional) AS DECIMAL(38,6)) AS notional"),
             F.expr("count(1) AS bin_count"),
             F.expr("max(_late) AS max_lateness_ms"),
             F.expr("min(api_send_ts_ms) AS api_send_ts_ms"),
@@ -111,8 +111,8 @@ def expected_bars(log: DataFrame, order: str = "start_ts_ms") -> DataFrame:
         .withColumn("_high", (F.coalesce("high", "_open") if "high" in have else F.col("_open")).cast(PRICE))
         .withColumn("_low", (F.coalesce("low", "_open") if "low" in have else F.col("_open")).cast(PRICE))
         .withColumn("_close", (F.coalesce("close", "_open") if "close" in have else F.col("_open")).cast(PRICE))
-        .withColumn("_volume", field("volume", "sz").cast(PRICE))
-        .withColumn("_traded", (F.col("_close") * F.col("_volume")).cast(PRICE))
+        .withColumn("_volume", field("volume", "sz").cast(WIDE))
+        .withColumn("_traded", (F.col("_close") * F.col("_volume")).cast(WIDE))
         .withColumn("_notional", (F.coalesce("notional", "_traded") if "notional" in have else F.col("_traded")))
         .withColumn("_late", F.coalesce("max_lateness_ms", F.lit(0).cast("long")))
     )
@@ -121,8 +121,8 @@ def expected_bars(log: DataFrame, order: str = "start_ts_ms") -> DataFrame:
         F.max("_high").alias("high"),
         F.min("_low").alias("low"),
         F.max_by("_close", order).alias("close"),
-        F.sum("_volume").cast(PRICE).alias("volume"),
-        F.sum("_notional").cast(PRICE).alias("notional"),
+        F.sum("_volume").cast(WIDE).alias("volume"),
+        F.sum("_notional").cast(WIDE).alias("notional"),
         F.count(F.lit(1)).alias("bin_count"),
         F.max("_late").alias("max_lateness_ms"),
     )

@@ -50,8 +50,8 @@ def fold_ticks(
         F.expr("max(px) AS high"),
         F.expr("min(px) AS low"),
         F.expr(f"max_by(px, {order}) AS close"),
-        F.expr("CAST(sum(sz) AS DECIMAL(18,6)) AS volume"),
-        F.expr("CAST(sum(px * sz) AS DECIMAL(18,6)) AS notional"),
+        F.expr("CAST(sum(sz) AS DECIMAL(38,6)) AS volume"),
+        F.expr("CAST(sum(px * sz) AS DECIMAL(38,6)) AS notional"),
         F.expr("count(1) AS trade_count"),
         F.expr("max(lateness_ms) AS max_lateness_ms"),
         F.expr("min(api_send_ts_ms) AS api_send_ts_ms"),

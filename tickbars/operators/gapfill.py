@@ -14,23 +14,25 @@ from tickbars.functions import scalars as x
 from tickbars.operators import bars as bar_ops
 from tickbars.operators import ordering
 from tickbars.operators.bins import BIN_COLUMNS, BIN_SOURCE
-from tickbars.schemas import PRICE
+from tickbars.schemas import WIDE
 from tickbars.settings import BIN_MS, HOUR_MS, SECOND_MS
 
 
 def with_next_start(bins: DataFrame) -> DataFrame:
-    """Add the start of the symbol's next bin; across hours it is handed over from the hour summaries."""
-    hourly = bins.withColumn(ordering.CHUNK, x.floor_ms("start_ts_ms", HOUR_MS))
-    handed = ordering.carry(
-        hourly,
-        ["symbol"],
-        ordering.CHUNK,
-        [F.min("start_ts_ms").alias("_first")],
-        lambda over: [F.lead("_first").over(over).alias("_next_hour")],
-    )
+    """Add the start of the symbol's next bin, in one pass over the bins.
+
+    Inside an hour it is the next row. The first and last bins of the hours, two rows an hour, then stand beside each
+    other in a group of their own, where the last of an hour finds the first of the next.
+    """
+    hour = x.floor_ms("start_ts_ms", HOUR_MS)
     inside = W.partitionBy("symbol", ordering.CHUNK).orderBy("start_ts_ms")
-    following = F.coalesce(F.lead("start_ts_ms").over(inside), F.col("_next_hour"))
-    return handed.withColumn("next_start_ms", following).drop(ordering.CHUNK, "_next_hour")
+    rows = bins.withColumn(ordering.CHUNK, hour).select(
+        "*", F.lead("start_ts_ms").over(inside).alias("_next"), F.lag("start_ts_ms").over(inside).alias("_before")
+    )
+    border = F.col("_next").isNull() | F.col("_before").isNull()
+    rows = rows.withColumn(ordering.CHUNK, F.when(~border, F.col(ordering.CHUNK)))
+    following = F.coalesce("_next", F.lead("start_ts_ms").over(inside))
+    return rows.withColumn("next_start_ms", following).drop(ordering.CHUNK, "_next", "_before")
 
 
 def _runs(bins: DataFrame, bin_ms: int) -> DataFrame:
@@ -98,17 +100,72 @@ def filler_pieces(bins: DataFrame, window_ms: int, bin_ms: int = BIN_MS) -> Data
         "price AS high",
         "price AS low",
         "price AS close",
-        "CAST(0 AS DECIMAL(18,6)) AS volume",
-        "CAST(0 AS DECIMAL(18,6)) AS notional",
+        "CAST(0 AS DECIMAL(38,6)) AS volume",
+        "CAST(0 AS DECIMAL(38,6)) AS notional",
         "bin_count",
         "CAST(NULL AS BIGINT) AS api_send_ts_ms",
         "CAST(NULL AS BIGINT) AS source_event_ts_ms",
     )
 
 
+_PIECE = (
+    "symbol, run_start, run_end, open, high, low, close, volume, notional, api_send_ts_ms, source_event_ts_ms, filler"
+).split(", ")
+
+
 def pieces(bins: DataFrame, window_ms: int, bin_ms: int = BIN_MS) -> DataFrame:
-    """Real bins and filler runs in one layout, ready to be folded by windows of ``window_ms``."""
-    return real_pieces(bins).unionByName(filler_pieces(bins, window_ms, bin_ms))
+    """Real bins and filler runs in one layout, ready to be folded by windows of ``window_ms``.
+
+    The bins are read once: each row gives itself and, if a gap follows, the filler run after it. Runs are cut by hour
+    and spread before they are cut finer, as in ``filler_runs``.
+    """
+    real = (
+        f"named_struct('run_start', start_ts_ms, 'run_end', start_ts_ms + {bin_ms}, 'open', open, 'high', high, 'low', low, "
+        "'close', close, 'volume', volume, 'notional', notional, 'api_send_ts_ms', api_send_ts_ms, "
+        "'source_event_ts_ms', source_event_ts_ms, 'filler', false)"
+    )
+    flat = (
+        f"named_struct('run_start', start_ts_ms + {bin_ms}, 'run_end', next_start_ms, 'open', close, 'high', close, "
+        "'low', close, 'close', close, 'volume', CAST(0 AS DECIMAL(38,6)), 'notional', CAST(0 AS DECIMAL(38,6)), "
+        "'api_send_ts_ms', CAST(NULL AS BIGINT), 'source_event_ts_ms', CAST(NULL AS BIGINT), 'filler', true)"
+    )
+    gap = f"next_start_ms > start_ts_ms + {bin_ms}"
+    both = with_next_start(bins).selectExpr("symbol", f"explode(IF({gap}, array({real}, {flat}), array({real}))) AS _run")
+    runs = both.selectExpr("symbol", "_run.*")
+    hours = _cut_runs(runs, HOUR_MS).repartition("symbol", x.floor_ms("run_start", HOUR_MS))
+    cut = _cut_runs(hours, window_ms)
+    placed = cut.selectExpr(
+        "*",
+        f"IF(filler, run_start + pmod(-run_start, {bin_ms}L), run_start) AS first_ms",
+        f"IF(filler, run_end + pmod(-run_end, {bin_ms}L) - {bin_ms}, run_start) AS last_ms",
+    )
+    return placed.where("last_ms >= first_ms").selectExpr(
+        "symbol",
+        "first_ms",
+        "last_ms",
+        "open",
+        "high",
+        "low",
+        "close",
+        "volume",
+        "notional",
+        f"(last_ms - first_ms) div {bin_ms} + 1 AS bin_count",
+        "api_send_ts_ms",
+        "source_event_ts_ms",
+    )
+
+
+def _cut_runs(runs: DataFrame, width_ms: int) -> DataFrame:
+    """Cut filler runs where windows of ``width_ms`` begin; a real bin stays whole."""
+    first = f"run_start - pmod(run_start, {width_ms}L)"
+    last = f"IF(filler, run_end - 1 - pmod(run_end - 1, {width_ms}L), {first})"
+    spread = runs.selectExpr("*", f"explode(sequence({first}, {last}, {width_ms}L)) AS _w")
+    kept = [c for c in _PIECE if c not in ("run_start", "run_end")]
+    return spread.selectExpr(
+        *kept,
+        "IF(filler, greatest(run_start, _w), run_start) AS run_start",
+        f"IF(filler, least(run_end, _w + {width_ms}), run_end) AS run_end",
+    )
 
 
 def fold_pieces(
@@ -123,8 +180,8 @@ def fold_pieces(
             F.expr("max(high) AS high"),
             F.expr("min(low) AS low"),
             F.expr("max_by(close, last_ms) AS close"),
-            F.expr("CAST(sum(volume) AS DECIMAL(18,6)) AS volume"),
-            F.expr("CAST(sum(notional) AS DECIMAL(18,6)) AS notional"),
+            F.expr("CAST(sum(volume) AS DECIMAL(38,6)) AS volume"),
+            F.expr("CAST(sum(notional) AS DECIMAL(38,6)) AS notional"),
             F.expr("sum(bin_count) AS bin_count"),
             F.expr("0L AS max_lateness_ms"),
             F.expr("min(api_send_ts_ms) AS api_send_ts_ms"),
@@ -168,8 +225,8 @@ def filled_bins(bins: DataFrame, bin_ms: int = BIN_MS, ingest: Column | None = N
             (F.col("start_ts_ms") + bin_ms).alias("end_ts_ms"),
             F.lit(bin_ms).cast("long").alias("window_ms"),
             *[F.col("price").alias(c) for c in ("open", "high", "low", "close")],
-            F.lit(0).cast(PRICE).alias("volume"),
-            F.lit(0).cast(PRICE).alias("notional"),
+            F.lit(0).cast(WIDE).alias("volume"),
+            F.lit(0).cast(WIDE).alias("notional"),
             F.lit(0).cast("long").alias("trade_count"),
             F.lit(0).cast("long").alias("max_lateness_ms"),
             F.lit(None).cast("long").alias("api_send_ts_ms"),

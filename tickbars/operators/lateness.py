@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,32 +18,27 @@ def with_lateness(
     rows: DataFrame,
     order: str,
     time: str,
-    borders: Sequence[float] = (),
     chunk: Column | None = None,
     watermark: str | None = None,
+    rows_per_chunk: int = ordering.ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add ``lateness_ms``: how far a row lies behind the newest time its symbol showed in earlier arrivals.
 
-    ``borders`` cut the arrival order into chunks of like size (see ``ordering.chunk_borders``), or ``chunk``
-    does by a rule of the caller's; the running maximum of a chunk is carried into the later ones.
-    ``watermark`` names a column that holds the symbol's watermark from before this input, as in micro-batches.
+    The arrival order is cut into chunks (even ones, or by ``chunk``), and the running maximum of a chunk is carried
+    into the later ones. ``watermark`` names a column that holds the symbol's watermark from before this input, as
+    in micro-batches.
     """
-    keys, floors = ["symbol"], [F.lit(0).cast("long")]
-    if borders or chunk is not None:
-        keys.append(ordering.CHUNK)
-        rows = ordering.with_chunk(rows, order, borders) if chunk is None else rows.withColumn(ordering.CHUNK, chunk)
-        rows = ordering.carry(
-            rows,
-            ["symbol"],
-            ordering.CHUNK,
-            [F.max(time).alias("_top")],
-            lambda over: [F.max("_top").over(over.rowsBetween(W.unboundedPreceding, -1)).alias("_carried")],
-        )
-        floors.append(F.col("_carried"))
-    if watermark is not None:
-        floors.append(F.col(watermark))
-    earlier = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    late = F.greatest(F.greatest(F.max(time).over(earlier), *floors) - F.col(time), F.lit(0).cast("long"))
+    chunk = ordering.even_chunk(rows, order, rows_per_chunk) if chunk is None else chunk
+    rows = ordering.carry(
+        rows.withColumn(ordering.CHUNK, chunk),
+        ["symbol"],
+        ordering.CHUNK,
+        [F.max(time).alias("_top")],
+        lambda over: [F.max("_top").over(over.rowsBetween(W.unboundedPreceding, -1)).alias("_carried")],
+    )
+    floors = [F.lit(0).cast("long"), F.col("_carried"), *([] if watermark is None else [F.col(watermark)])]
+    inside = W.partitionBy("symbol", ordering.CHUNK).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    late = F.greatest(F.greatest(F.max(time).over(inside), *floors) - F.col(time), F.lit(0).cast("long"))
     return rows.withColumn("lateness_ms", late).drop(ordering.CHUNK, "_carried")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickbars.functions import scalars as x
 from tickbars.settings import DEFAULT_SYMBOL
+from tickbars.sources.ticks import FILE_PLACE
 
 # Default market opens.
 OPEN_UTC = "14:30:00"
@@ -19,7 +20,7 @@ def normalize_ticks(payloads: DataFrame, default_symbol: str = DEFAULT_SYMBOL) -
     The source time is the millisecond field when usable, else the seconds field times 1000.
     """
     size = F.coalesce(x.finite("sz"), F.lit(0.0))
-    carried = [c for c in ("arrival_seq",) if c in payloads.columns]
+    carried = [c for c in ("arrival_seq", FILE_PLACE) if c in payloads.columns]
     return payloads.select(
         *carried,
         F.coalesce(x.non_blank("symbol"), F.lit(default_symbol)).alias("symbol"),

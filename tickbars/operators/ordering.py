@@ -6,47 +6,35 @@ over from a summary with one row per symbol and chunk. Two kinds of chunk are us
 
 * time chunks, for series that hold one row per symbol and grid step (bins, bars): the row count of a
   chunk is bounded by the grid itself;
-* quantile chunks, for raw ticks, where any stretch of time may be crowded: the borders come from
-  quantiles of a unique order column, so every chunk holds about the same number of rows.
+* even chunks, for raw ticks, where any stretch of time may be crowded: equal stretches of a unique order
+  column, as many as the rows need, with the bounds found by the same plan.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ROWS_PER_CHUNK = 2_000_000
-MAX_CHUNKS = 65_536
+ROWS_PER_CHUNK = 1_000_000
 CHUNK = "_chunk"
 
 
-def chunk_borders(rows: DataFrame, order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[float]:
-    """Borders that split a unique order column into chunks of about ``rows_per_chunk`` rows.
+def even_chunk(rows: DataFrame, order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Column:
+    """Chunk number of each row: ``order`` cut into equal stretches, one for every ``rows_per_chunk`` rows.
 
-    Costs a row count (answered by file footers on an unfiltered scan) and, only when one chunk is not
-    enough, one quantile sketch over the single order column. The borders are plain numbers, so a chunk is
-    a pure function of the row and a recomputed task sees the same chunks.
+    The bounds come from a scalar subquery of the same plan, which is one plan at every size. Line, offset and
+    sequence numbers are dense, so their stretches hold about as many rows each; a source whose order numbers leap
+    about passes a chunk of its own instead. Along ``order`` the number never falls.
     """
-    chunks = min(math.ceil(rows.count() / rows_per_chunk), MAX_CHUNKS)
-    if chunks <= 1:
-        return []
-    steps = [i / chunks for i in range(1, chunks)]
-    return sorted(set(rows.stat.approxQuantile(order, steps, 0.25 / chunks)))
-
-
-def with_chunk(rows: DataFrame, order: str, borders: Sequence[float]) -> DataFrame:
-    """Add the chunk number of ``order``; without borders all rows are chunk 0."""
-    if not borders:
-        return rows.withColumn(CHUNK, F.lit(0).cast("long"))
-    splits = [-math.inf, *borders, math.inf]
-    cut = Bucketizer(splits=splits, inputCol="_order", outputCol="_cut")
-    placed = cut.transform(rows.withColumn("_order", F.col(order).cast("double")))
-    return placed.withColumn(CHUNK, F.col("_cut").cast("long")).drop("_order", "_cut")
+    bounds = F.struct(F.min(order).alias("low"), F.max(order).alias("high"), F.count(F.lit(1)).alias("n"))
+    found = rows.agg(bounds.alias("bounds")).scalar()
+    low, high = (found.getField(k).cast("double") for k in ("low", "high"))
+    chunks = F.ceil(found.getField("n") / F.lit(rows_per_chunk))
+    width = F.greatest((high - low + F.lit(1.0)) / F.greatest(chunks, F.lit(1)), F.lit(1.0))
+    return F.floor((F.col(order).cast("double") - low) / width).cast("long")
 
 
 def carry(

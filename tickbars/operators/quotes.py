@@ -10,10 +10,11 @@ from tickbars.functions import scalars as x
 from tickbars.operators import ordering
 from tickbars.settings import DAY_MS, MINUTE_MS
 
-# Source tags of live and of backfilled quotes, the pause between two history look-ups.
+# Source tags of live and of backfilled quotes, the least and longest pause between two history look-ups.
 LIVE_SOURCE = "yfinance.fast_info"
 HISTORY_SOURCE = "yfinance.history"
 REFETCH_MS = 30_000
+MAX_REFETCH_MS = 300_000
 
 
 def _some(name: str) -> Column:
@@ -75,41 +76,79 @@ def history_at(wanted: DataFrame, minutes: DataFrame) -> DataFrame:
     return handed.withColumn("_found", bar).where("_asked").select("symbol", "minute_ms", "_found.*")
 
 
-def backfill(quotes: DataFrame, minutes: DataFrame, refetch_ms: int = REFETCH_MS) -> DataFrame:
+def history_fetches(asks: DataFrame, wait_ms: int = REFETCH_MS, max_wait_ms: int = MAX_REFETCH_MS) -> DataFrame:
+    """Which of the quotes without a price fetch history with success: ``symbol, day_ms, lead_ts_ms, lead_id``.
+
+    ``asks`` has ``symbol, quote_id, event_ts_ms`` and whether history is ``found`` at that time. A symbol's first ask
+    fetches; after a fetch the next one waits ``wait_ms``, and after an empty one twice the wait before, up to
+    ``max_wait_ms``; in between nothing is fetched. Each UTC day starts afresh, so a symbol's day is what one fold goes
+    over, with a row per millisecond at most.
+    """
+    day = x.floor_ms("event_ts_ms", DAY_MS).alias("day_ms")
+    moments = asks.groupBy("symbol", day, "event_ts_ms").agg(F.min("quote_id").alias("quote_id"), F.max("found").alias("found"))
+    days = moments.groupBy("symbol", "day_ms").agg(
+        F.array_sort(F.collect_list(F.struct("event_ts_ms", "quote_id", "found"))).alias("asks")
+    )
+    longer = f"least(s.wait * 2, {max_wait_ms}L)"
+    state = "STRUCT<next: BIGINT, wait: BIGINT, hits: ARRAY<STRUCT<ts: BIGINT, id: BIGINT>>>"
+    hit = "array_append(s.hits, named_struct('ts', a.event_ts_ms, 'id', a.quote_id))"
+    fold = f"""aggregate(asks, CAST(named_struct('next', {-(2**62)}L, 'wait', {wait_ms}L, 'hits', array()) AS {state}), (s, a) -> CASE
+        WHEN a.event_ts_ms < s.next THEN s
+        WHEN a.found THEN CAST(named_struct('next', a.event_ts_ms + {wait_ms}L, 'wait', {wait_ms}L, 'hits', {hit}) AS {state})
+        ELSE CAST(named_struct('next', a.event_ts_ms + {longer}, 'wait', {longer}, 'hits', s.hits) AS {state}) END, s -> s.hits)"""
+    hits = days.select("symbol", "day_ms", F.explode(F.expr(fold)).alias("hit"))
+    return hits.select("symbol", "day_ms", F.col("hit.ts").alias("lead_ts_ms"), F.col("hit.id").alias("lead_id"))
+
+
+def backfill(quotes: DataFrame, minutes: DataFrame, refetch_ms: int = REFETCH_MS, max_refetch_ms: int = MAX_REFETCH_MS) -> DataFrame:
     """Fill quotes without a price from minute history.
 
-    The first such quote of a symbol in each slot of ``refetch_ms`` looks history up: it takes the last bar's close
-    as price, as bid and ask where it has none, the bar's volume as size where it has none, and the bar's time and
-    the history tag. Later quotes of the slot reuse that quote's values where their own are missing, and keep their
-    own time and tag. ``refetch_ms=0`` looks history up for every quote.
+    A quote that fetches history (see ``history_fetches``) takes the last bar's close as price, as bid and ask where it
+    has none, the bar's volume as size where it has none, and the bar's time and the history tag. Quotes in between
+    reuse the values of the last successful one where their own are missing, and keep their own time and tag.
+    ``refetch_ms=0`` looks history up for every quote.
     """
     needy = F.col("px").isNull()
     slotted = quotes.withColumn("minute_ms", x.floor_ms("event_ts_ms", MINUTE_MS))
-    if refetch_ms > 0:
-        slotted = slotted.withColumn("_slot", x.floor_ms("event_ts_ms", refetch_ms))
     lacking = slotted.where(needy)
     found = history_at(lacking, minutes)
     if refetch_ms <= 0:
         looked = slotted.join(found, ["symbol", "minute_ms"], "left")
         return _from_history(looked, needy & F.col("bar_close").isNotNull()).select(*quotes.columns)
 
-    leader = F.min(F.struct("event_ts_ms", "quote_id", "minute_ms", "bid", "ask", "sz")).alias("_lead")
-    leaders = (
-        lacking.groupBy("symbol", "_slot")
-        .agg(leader)
-        .select("symbol", "_slot", "_lead", F.col("_lead.minute_ms").alias("minute_ms"))
-        .join(found, ["symbol", "minute_ms"], "left")
-        .drop("minute_ms")
+    looked = lacking.join(found, ["symbol", "minute_ms"], "left").withColumn("found", F.col("bar_close").isNotNull())
+    fetched = history_fetches(looked, refetch_ms, max_refetch_ms)
+    values = ["quote_id", "event_ts_ms", "bid", "ask", "sz", "bar_ts_ms", "bar_close", "bar_volume"]
+    lead = F.struct(*values).alias("_lead")
+    leaders = looked.select("symbol", "quote_id", lead).join(
+        fetched.select("symbol", "day_ms", F.col("lead_id").alias("quote_id")), ["symbol", "quote_id"]
+    )
+    # Fetches lie a wait apart, so a slot of that width holds one at most; earlier ones are carried over the slots.
+    slot = x.floor_ms("event_ts_ms", refetch_ms)
+    own = leaders.select("symbol", "day_ms", x.floor_ms("_lead.event_ts_ms", refetch_ms).alias("_slot"), "_lead")
+    grid = lacking.select("symbol", x.floor_ms("event_ts_ms", DAY_MS).alias("day_ms"), slot.alias("_slot")).distinct()
+    before = W.partitionBy("symbol", "day_ms").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    carried = grid.join(own, ["symbol", "day_ms", "_slot"], "left").withColumn(
+        "_earlier", F.last("_lead", ignorenulls=True).over(before)
+    )
+    joined = (
+        slotted.withColumn("day_ms", x.floor_ms("event_ts_ms", DAY_MS))
+        .withColumn("_slot", slot)
+        .join(carried, ["symbol", "day_ms", "_slot"], "left")
+    )
+    use = F.when(F.col("_lead.event_ts_ms") <= F.col("event_ts_ms"), F.col("_lead")).otherwise(F.col("_earlier"))
+    joined = joined.withColumn("_use", F.when(needy, use)).select(
+        "*", *[F.col(f"_use.{c}").alias(c) for c in ("bar_ts_ms", "bar_close", "bar_volume")]
     )
-    joined = slotted.join(leaders, ["symbol", "_slot"], "left")
-    first = needy & F.col("bar_close").isNotNull() & (F.col("quote_id") == F.col("_lead.quote_id"))
-    follower = needy & F.col("bar_close").isNotNull() & (F.col("quote_id") != F.col("_lead.quote_id"))
+    has = F.col("_use").isNotNull()
+    first = has & (F.col("quote_id") == F.col("_use.quote_id"))
+    follower = has & (F.col("quote_id") != F.col("_use.quote_id"))
     reused = (
         joined.withColumn("_first", first)
         .withColumn("_follower", follower)
-        .withColumn("bid", F.when(F.col("_follower"), F.coalesce("bid", "_lead.bid", "bar_close")).otherwise(F.col("bid")))
-        .withColumn("ask", F.when(F.col("_follower"), F.coalesce("ask", "_lead.ask", "bar_close")).otherwise(F.col("ask")))
-        .withColumn("sz", F.when(F.col("_follower"), F.coalesce("sz", "_lead.sz", "bar_volume")).otherwise(F.col("sz")))
+        .withColumn("bid", F.when(F.col("_follower"), F.coalesce("bid", "_use.bid", "bar_close")).otherwise(F.col("bid")))
+        .withColumn("ask", F.when(F.col("_follower"), F.coalesce("ask", "_use.ask", "bar_close")).otherwise(F.col("ask")))
+        .withColumn("sz", F.when(F.col("_follower"), F.coalesce("sz", "_use.sz", "bar_volume")).otherwise(F.col("sz")))
         .withColumn("px", F.when(F.col("_follower"), F.col("bar_close")).otherwise(F.col("px")))
     )
     return _from_history(reused, F.col("_first")).select(*quotes.columns)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,44 +29,40 @@ def schedule(
     speed: float = SPEED,
     max_sleep_s: float = MAX_SLEEP_S,
     order: str = "arrival_seq",
-    borders: Sequence[float] = (),
+    rows_per_chunk: int = ordering.ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Planned emission offset of each tick in microseconds since its symbol's first one.
 
     The pause before a tick is the step in event time (never negative) divided by ``speed`` and, unless
-    ``max_sleep_s`` is negative, capped. With ``borders`` both the previous time and the running sum are carried
-    across chunks.
+    ``max_sleep_s`` is negative, capped. The arrival order is cut into even chunks; both the previous time and the
+    running sum are carried across their borders.
     """
     if speed <= 0:
         raise ValueError("speed must be positive")
     keys = ["symbol"]
-    rows = ordering.with_chunk(ticks, order, borders)
+    rows = ticks.withColumn(ordering.CHUNK, ordering.even_chunk(ticks, order, rows_per_chunk))
     over = W.partitionBy(*keys, ordering.CHUNK).orderBy(order)
-    previous = F.lag("event_ts_ms").over(over)
-    if borders:
-        rows = ordering.carry(
-            rows,
-            keys,
-            ordering.CHUNK,
-            [F.max_by("event_ts_ms", order).alias("_last")],
-            lambda chunks: [F.lag("_last").over(chunks).alias("_previous")],
-        )
-        previous = F.coalesce(previous, F.col("_previous"))
+    rows = ordering.carry(
+        rows,
+        keys,
+        ordering.CHUNK,
+        [F.max_by("event_ts_ms", order).alias("_last")],
+        lambda chunks: [F.lag("_last").over(chunks).alias("_previous")],
+    )
+    previous = F.coalesce(F.lag("event_ts_ms").over(over), F.col("_previous"))
     step = F.greatest(F.coalesce(F.col("event_ts_ms") - previous, F.lit(0)), F.lit(0))
     pause = F.rint(step * F.lit(1000.0) / F.lit(speed)).cast("long")
     if max_sleep_s >= 0:
         pause = F.least(pause, F.lit(round(max_sleep_s * 1_000_000)).cast("long"))
-    rows = rows.withColumn("pause_us", pause).drop("_previous")
+    rows = ordering.carry(
+        rows.withColumn("pause_us", pause).drop("_previous"),
+        keys,
+        ordering.CHUNK,
+        [F.sum("pause_us").alias("_sum")],
+        lambda chunks: [F.sum("_sum").over(chunks.rowsBetween(W.unboundedPreceding, -1)).alias("_before")],
+    )
     total = F.sum("pause_us").over(over.rowsBetween(W.unboundedPreceding, W.currentRow))
-    if borders:
-        rows = ordering.carry(
-            rows,
-            keys,
-            ordering.CHUNK,
-            [F.sum("pause_us").alias("_sum")],
-            lambda chunks: [F.sum("_sum").over(chunks.rowsBetween(W.unboundedPreceding, -1)).alias("_before")],
-        )
-        total = total + F.coalesce("_before", F.lit(0))
+    total = total + F.coalesce("_before", F.lit(0))
     return rows.withColumn("emit_offset_us", total).drop(ordering.CHUNK, "_before")
 
 

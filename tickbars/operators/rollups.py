@@ -9,7 +9,7 @@ from tickbars.functions import scalars as x
 from tickbars.operators import ordering
 from tickbars.operators.bars import GRAIN, by_grain
 from tickbars.operators.bins import wall_clock_ms
-from tickbars.schemas import PRICE
+from tickbars.schemas import PRICE, WIDE
 from tickbars.settings import DAY_MS, FIVE_MINUTES_MS, FLUSH_MINUTES, MINUTE_MS, SETTLE_GRACE_MS, UNKNOWN_SYMBOL
 
 # Key suffixes of the rollups.
@@ -28,7 +28,7 @@ def with_defaults(bars: DataFrame, ingest: Column | None = None) -> DataFrame:
         .withColumn("low", F.coalesce("low", "open"))
         .withColumn("close", F.coalesce("close", "open"))
         .withColumn("volume", F.coalesce("volume", F.lit(0).cast(PRICE)))
-        .withColumn("notional", F.coalesce("notional", (F.col("close") * F.col("volume")).cast(PRICE)))
+        .withColumn("notional", F.coalesce("notional", (F.col("close") * F.col("volume")).cast(WIDE)))
         .withColumn("ingest_ts_ms", F.coalesce("ingest_ts_ms", wall_clock_ms() if ingest is None else ingest))
     )
 
@@ -44,8 +44,8 @@ def _ohlc(order: str) -> list[Column]:
         F.expr(f"max_by(close, {order}) AS close"),
         F.expr("max(high) AS high"),
         F.expr("min(low) AS low"),
-        F.expr("CAST(sum(volume) AS DECIMAL(18,6)) AS volume"),
-        F.expr("CAST(sum(notional) AS DECIMAL(18,6)) AS notional"),
+        F.expr("CAST(sum(volume) AS DECIMAL(38,6)) AS volume"),
+        F.expr("CAST(sum(notional) AS DECIMAL(38,6)) AS notional"),
         F.expr("max(ingest_ts_ms) AS ingest_ts_ms"),
         F.expr("count(1) AS _rows"),
     ]

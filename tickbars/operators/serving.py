@@ -70,10 +70,15 @@ def latest_bar(bars: DataFrame, order: str = "start_ts_ms") -> DataFrame:
 
 
 def last_seconds(bars: DataFrame, seconds: int) -> DataFrame:
-    """Bars that start within ``seconds`` of their symbol's newest bar."""
-    newest = bars.groupBy("symbol").agg(F.max("start_ts_ms").alias("_newest"))
+    """Bars that start within ``seconds`` of their symbol's newest bar.
+
+    One pass: first against the newest bar of the symbol's day, then, with at most ``seconds`` bars left of a day,
+    against the newest of all.
+    """
+    day = x.floor_ms("start_ts_ms", DAY_MS)
     recent = F.col("start_ts_ms") >= F.col("_newest") - seconds * SECOND_MS
-    return bars.join(newest, "symbol").where(recent).drop("_newest")
+    near = bars.withColumn("_newest", F.max("start_ts_ms").over(W.partitionBy("symbol", day))).where(recent)
+    return near.withColumn("_newest", F.max("start_ts_ms").over(W.partitionBy("symbol"))).where(recent).drop("_newest")
 
 
 def distinct_symbols(bars: DataFrame) -> DataFrame:

@@ -119,7 +119,7 @@ def rebase_to_anchor(feed: Feed) -> DataFrame:
 
 @query
 def replay_schedule(feed: Feed) -> DataFrame:
-    planned = replay.schedule(feed.ticks, speed=2.0, max_sleep_s=0.05, borders=feed.borders)
+    planned = replay.schedule(feed.ticks, speed=2.0, max_sleep_s=0.05, rows_per_chunk=feed.rows_per_chunk)
     return planned.select("arrival_seq", "symbol", "pause_us", "emit_offset_us")
 
 
@@ -314,6 +314,14 @@ def fact_1s_typed(feed: Feed) -> DataFrame:
     return facts.fact_1s_from_records(records, F.lit(NOW_MS).cast("long"), feed.load_ts)
 
 
+@query
+def fact_1s_rejects(feed: Feed) -> DataFrame:
+    """Bars whose volume outgrew the fact table's decimals."""
+    huge = F.expr("CASE WHEN (start_ts_ms div 1000) % 7 = 0 THEN CAST(volume + 1000000000000 AS DECIMAL(38,6)) ELSE volume END")
+    lost = facts.rejects(feed.bars.withColumn("volume", huge))
+    return lost.select("bar_id", "symbol", "start_ts_ms", F.array_join("misfits", ",").alias("misfits"))
+
+
 @query
 def bars_defaulted(feed: Feed) -> DataFrame:
     second = F.expr("start_ts_ms div 1000")

@@ -31,10 +31,7 @@ def with_receipt(rows: DataFrame) -> DataFrame:
 
 
 class Feed:
-    """Lazily built frames over one data folder. Nothing runs until a result is read.
-
-    The one exception are the chunk borders: a row count of the scan and, for large inputs, one quantile sketch.
-    """
+    """Lazily built frames over one data folder. Nothing runs until a result is read."""
 
     def __init__(
         self,
@@ -60,13 +57,9 @@ class Feed:
     def quotes(self) -> DataFrame:
         return events.event_quotes(self.spark, self.sf_dir)
 
-    @cached_property
-    def borders(self) -> list[float]:
-        return ordering.chunk_borders(self.ticks, "arrival_seq", self.rows_per_chunk)
-
     @cached_property
     def classified(self) -> DataFrame:
-        return lateness.with_lateness(self.ticks, "arrival_seq", "event_ts_ms", self.borders)
+        return lateness.with_lateness(self.ticks, "arrival_seq", "event_ts_ms", rows_per_chunk=self.rows_per_chunk)
 
     @cached_property
     def accepted(self) -> DataFrame:

@@ -164,15 +164,30 @@ SELECT event_id AS quote_id, sym AS symbol, CASE WHEN k >= 20 THEN value END AS
        'yfinance.fast_info' AS source, event_ms AS api_send_ts_ms
 FROM timed"""
 
-STEPS["looked_up"] = """
-SELECT q.*, m.close AS bar_close, m.volume AS bar_volume, m.start_ts_ms AS bar_ts
-FROM (SELECT *, event_ts_ms - event_ts_ms % 30000 AS slot,
-             row_number() OVER (PARTITION BY symbol, event_ts_ms - event_ts_ms % 30000 ORDER BY event_ts_ms, quote_id) AS r
-      FROM quotes WHERE px IS NULL) q
+STEPS["asks"] = """
+SELECT q.*, m.close AS bar_close, m.volume AS bar_volume, m.start_ts_ms AS bar_ts,
+       event_ts_ms - event_ts_ms % 86400000 AS day
+FROM (SELECT * FROM quotes WHERE px IS NULL) q
 ASOF LEFT JOIN (SELECT symbol AS s, start_ts_ms, CAST(close AS DOUBLE) AS close, CAST(volume AS DOUBLE) AS volume
                 FROM minutes) m
-  ON q.symbol = m.s AND q.event_ts_ms >= m.start_ts_ms
-WHERE q.r = 1"""
+  ON q.symbol = m.s AND q.event_ts_ms >= m.start_ts_ms"""
+
+STEPS["fetches"] = """
+SELECT symbol, day, CAST(0 AS BIGINT) AS moment, CAST(0 AS BIGINT) AS next, CAST(30000 AS BIGINT) AS wait, false AS hit
+FROM asks GROUP BY symbol, day
+UNION ALL
+SELECT symbol, day, moment,
+       moment + CASE WHEN found THEN 30000 ELSE least(wait * 2, 300000) END AS next,
+       CASE WHEN found THEN 30000 ELSE least(wait * 2, 300000) END AS wait, found AS hit
+FROM (SELECT f.symbol, f.day, f.wait, min(a.event_ts_ms) AS moment, arg_min(a.bar_close IS NOT NULL, a.event_ts_ms) AS found
+      FROM fetches f JOIN asks a ON a.symbol = f.symbol AND a.day = f.day AND a.event_ts_ms >= f.next
+      GROUP BY f.symbol, f.day, f.wait)"""
+
+STEPS["looked_up"] = """
+SELECT a.* FROM asks a
+JOIN (SELECT symbol, day, moment, min(quote_id) AS quote_id FROM (SELECT f.symbol, f.day, f.moment, a.quote_id FROM fetches f
+      JOIN asks a ON f.hit AND a.symbol = f.symbol AND a.day = f.day AND a.event_ts_ms = f.moment) GROUP BY ALL) f
+  ON a.quote_id = f.quote_id"""
 
 STEPS["gaps"] = """
 SELECT *, greatest(received_ts_ms - ingest_ts_ms, 0) AS p, received_ts_ms - api_send_ts_ms AS a,
@@ -199,7 +214,7 @@ def _sql(text: str) -> str:
     found: set[str] = set()
     _needs(text, found)
     steps = ",\n".join(f"{name} AS ({STEPS[name].strip()})" for name in _ORDER if name in found)
-    return f"WITH {steps}\n{text.strip()}" if steps else text.strip()
+    return f"WITH RECURSIVE {steps}\n{text.strip()}" if steps else text.strip()
 
 
 def _d(*names: str) -> str:
@@ -336,6 +351,8 @@ SELECT bar_id, symbol, epoch_ms(start_ts_ms) AS start_ts, epoch_ms(end_ts_ms) AS
        CASE WHEN (start_ts_ms // 1000) % 7 <> 0 THEN bin_count ELSE 0 END AS bin_count, max_lateness_ms,
        epoch_ms(CASE WHEN (start_ts_ms // 1000) % 13 <> 0 THEN ingest_ts_ms ELSE 1735827130000 END) AS ingest_ts
 FROM bars WHERE (start_ts_ms // 1000) % 11 <> 0""",
+    "fact_1s_rejects": """
+SELECT bar_id, symbol, start_ts_ms, 'volume' AS misfits FROM bars WHERE (start_ts_ms // 1000) % 7 = 0""",
     "bars_defaulted": """
 SELECT bar_id, CASE WHEN s % 7 <> 0 THEN symbol ELSE 'UNKNOWN' END AS symbol, start_ts_ms, CAST(o AS DOUBLE) AS open,
        CAST(CASE WHEN s % 3 <> 0 THEN high ELSE o END AS DOUBLE) AS high,
@@ -482,7 +499,8 @@ SELECT q.quote_id, q.symbol,
        CASE WHEN q.quote_id = l.quote_id AND l.bar_close IS NOT NULL THEN l.bar_ts ELSE q.event_ts_ms END AS event_ts_ms,
        CASE WHEN q.quote_id = l.quote_id AND l.bar_close IS NOT NULL THEN 'yfinance.history' ELSE q.source END AS source,
        q.api_send_ts_ms
-FROM quotes q LEFT JOIN looked_up l ON q.px IS NULL AND q.symbol = l.symbol AND q.event_ts_ms - q.event_ts_ms % 30000 = l.slot""",
+FROM (SELECT *, CASE WHEN px IS NULL THEN symbol END AS needy, event_ts_ms - event_ts_ms % 86400000 AS day FROM quotes) q
+ASOF LEFT JOIN looked_up l ON q.needy = l.symbol AND q.day = l.day AND q.event_ts_ms >= l.event_ts_ms""",
     "quotes_append": """
 SELECT sym AS symbol, value AS price, make_timestamp(event_ms * 1000) AS ts FROM timed WHERE k >= 20""",
     "raw_json_fields": """

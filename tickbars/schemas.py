@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 PRICE = T.DecimalType(18, 6)
+#: Sums until they are typed as facts: wide enough that no input overflows them.
+WIDE = T.DecimalType(38, 6)
 
 
 _TYPES = {

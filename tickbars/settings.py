@@ -29,10 +29,8 @@ class Settings:
     bin_ms: int = BIN_MS
     max_late_ms: int = MAX_LATE_MS
     flush_minutes: int = FLUSH_MINUTES
-    default_symbol: str = DEFAULT_SYMBOL
     bars_per_symbol: int = BARS_PER_SYMBOL
     metrics_window: int = METRICS_WINDOW
-    tolerance: float = TOLERANCE
 
     def __post_init__(self) -> None:
         if self.bin_ms <= 0:

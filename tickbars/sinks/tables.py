@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tickbars.operators.facts import with_trade_date
+from tickbars.operators.facts import with_trade_hour
 from tickbars.operators.merge import merge_by_key
 
-PARTITION = "trade_date"
-MAX_BATCH_DAYS = 40_000
+PARTITIONS = ["trade_date", "trade_hour"]
 
 
 def overwrite(rows: DataFrame, path: str) -> None:
@@ -30,36 +28,57 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _touched_days(batch: DataFrame) -> list:
-    """The partition values of a batch: calendar days, so the list is bounded by the calendar and checked."""
-    days = [row[0] for row in batch.select(PARTITION).distinct().limit(MAX_BATCH_DAYS + 1).collect()]
-    if len(days) > MAX_BATCH_DAYS:
-        raise ValueError("a batch touches more days than a calendar of a century holds")
-    return days
-
-
-def upsert(spark: SparkSession, facts: DataFrame, path: str, staging: str, key: str = "bar_id", order: str | None = None) -> None:
+def upsert(
+    spark: SparkSession,
+    facts: DataFrame,
+    path: str,
+    staging: str,
+    key: str = "bar_id",
+    order: str | None = None,
+    batch: int = 0,
+) -> None:
     """Insert facts into the table at ``path``, replacing rows of the same key.
 
-    Only the days the batch touches are read and rewritten. The merged days go to ``staging`` first (a folder of
-    this batch on shared storage), so the table is never read and overwritten by one plan, and a batch that is
-    run again after a failure ends in the same state.
+    The table is partitioned by hour, and only the hours that the batch touches are read and rewritten: a semi-join
+    on the partition columns, which prunes the scan, so nothing passes through the driver.
+
+    The merged hours go to ``staging`` first, then a note with the batch number, then they are published. A batch that
+    is run again after its note was written publishes the finished staging folder once more and merges nothing: the
+    table may be half published then, and must not be read. ``staging`` belongs to one batch at a time.
     """
-    batch = with_trade_date(facts)
-    days = _touched_days(batch)
-    if not days:
-        return
-    stored = batch.drop(order or "")
-    if exists(spark, path):
-        current = spark.read.schema(stored.schema).parquet(path).where(F.col(PARTITION).isin(days))
-    else:
+    incoming = with_trade_hour(facts)
+    stored = incoming.drop(order or "")
+    if not finished(spark, staging, batch):
         current = stored.limit(0)
-    merged = merge_by_key(current, batch, key, order)
-    merged.repartition(PARTITION, "symbol").write.mode("overwrite").partitionBy(PARTITION).parquet(staging)
-    staged = spark.read.schema(merged.schema).parquet(staging)
+        if exists(spark, path):
+            touched = incoming.select(*PARTITIONS).distinct()
+            current = spark.read.schema(stored.schema).parquet(path).join(touched, PARTITIONS, "left_semi")
+            current = current.select(*stored.columns)
+        merged = merge_by_key(current, incoming, key, order)
+        merged.repartition(*PARTITIONS, "symbol").write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{staging}/rows")
+        finish(spark, staging, batch)
+    publish(spark, stored, staging, path)
+
+
+def finish(spark: SparkSession, folder: str, batch: int) -> None:
+    """Note that the folder holds the whole of this batch."""
+    spark.range(batch, batch + 1).write.mode("overwrite").parquet(f"{folder}/note")
+
+
+def finished(spark: SparkSession, folder: str, batch: int) -> bool:
+    """Whether the folder holds the whole of this batch."""
+    if not exists(spark, f"{folder}/note"):
+        return False
+    return not spark.read.parquet(f"{folder}/note").where(f"id = {batch}").isEmpty()
+
+
+def publish(spark: SparkSession, like: DataFrame, staging: str, path: str) -> None:
+    """Replace the staged hours in the table; doing it again changes nothing."""
+    staged = spark.read.schema(like.schema).parquet(f"{staging}/rows")
     (
-        staged.write.mode("overwrite")
+        staged.select(*like.columns)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )

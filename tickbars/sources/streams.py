@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbars.schemas import BAR_1S, BIN, PRICE
+from tickbars.sources.ticks import with_line_order
 
-# Topics, where reading starts, and the size of a poll.
+# Topics.
 BIN_TOPIC = "ticks.raw"
 BAR_TOPIC = "ticks.agg.1s"
-MAX_POLL_RECORDS = 500
 
 
 def kafka_stream(
@@ -56,7 +56,7 @@ def bin_stream(spark: SparkSession, brokers: str, topic: str = BIN_TOPIC) -> Dat
     return decode(kafka_stream(spark, brokers, topic, "earliest"), BIN)
 
 
-def bar_stream(spark: SparkSession, brokers: str, topic: str = BAR_TOPIC, max_records: int | None = MAX_POLL_RECORDS) -> DataFrame:
+def bar_stream(spark: SparkSession, brokers: str, topic: str = BAR_TOPIC, max_records: int | None = None) -> DataFrame:
     """Bars from now on, at most ``max_records`` per micro-batch (None for no bound)."""
     return decode(kafka_stream(spark, brokers, topic, "latest", max_records), BAR_1S)
 
@@ -67,6 +67,8 @@ def file_messages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, limit: int | None = None) -> DataFrame:
-    """Records of a JSON-lines log; a malformed line fails the job. ``limit`` keeps that many records."""
-    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    return rows if limit is None else rows.limit(limit)
+    """Records of a JSON-lines log; a malformed line fails the job. ``limit`` keeps the first records in line order."""
+    scan = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    if limit is None:
+        return scan
+    return with_line_order(scan).orderBy("arrival_seq").limit(limit).drop("arrival_seq")

@@ -17,6 +17,7 @@ CSV_TIME = "M/d/yyyy H:m:s"
 CSV_SOURCE = "mock_api"
 
 _LINE_BITS = 33
+FILE_PLACE = "_file_place"
 
 
 def with_line_order(scan: DataFrame) -> DataFrame:
@@ -39,6 +40,36 @@ def with_line_order(scan: DataFrame) -> DataFrame:
     return placed.withColumn("arrival_seq", order).drop("_path", "_at", "_line", "_rank")
 
 
+def with_file_place(scan: DataFrame) -> DataFrame:
+    """Add what orders the files of a streamed scan: their time, path and block (see ``numbered``)."""
+    return scan.select(
+        "*",
+        F.struct(
+            F.col("_metadata.file_modification_time").alias("time"),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("at"),
+        ).alias(FILE_PLACE),
+    )
+
+
+def numbered(rows: DataFrame, order: str) -> DataFrame:
+    """Rows of a micro-batch with an arrival order: their own column, their place in the files, or as read.
+
+    Spark packs the largest files of a micro-batch first, so the reading order is not the arrival order. File blocks are
+    ranked by modification time, path and offset, one row per block, and joined back; inside a block the rows of a
+    micro-batch still come in line order.
+    """
+    if order in rows.columns:
+        return rows
+    if FILE_PLACE not in rows.columns:
+        return rows.withColumn(order, F.monotonically_increasing_id())
+    blocks = rows.select(FILE_PLACE).distinct()
+    ranked = blocks.withColumn("_rank", F.row_number().over(W.orderBy(FILE_PLACE)).cast("long") - 1)
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LINE_BITS) - 1))
+    placed = rows.withColumn("_line", inside).join(ranked, FILE_PLACE)
+    return placed.withColumn(order, F.shiftleft("_rank", _LINE_BITS) + F.col("_line")).drop(FILE_PLACE, "_line", "_rank")
+
+
 def _csv_scan(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(TICK_CSV)
@@ -60,7 +91,7 @@ def parse_csv(rows: DataFrame, symbol: str = DEFAULT_SYMBOL, zone: str = "UTC")
     whole = rows.where(F.col("_bad").isNull() | (fields >= CSV_FIELDS))
     local = F.try_to_timestamp(F.concat_ws(" ", "trade_day", "trade_time"), F.lit(CSV_TIME))
     at = local if zone == "UTC" else F.to_utc_timestamp(local, zone)
-    carried = [c for c in ("arrival_seq",) if c in rows.columns]
+    carried = [c for c in ("arrival_seq", FILE_PLACE) if c in rows.columns]
     return whole.select(
         *carried,
         F.lit(symbol).alias("symbol"),
@@ -85,14 +116,14 @@ def read_csv(spark: SparkSession, path: str, symbol: str = DEFAULT_SYMBOL, zone:
 
 
 def stream_csv(spark: SparkSession, path: str, symbol: str = DEFAULT_SYMBOL, zone: str = "UTC") -> DataFrame:
-    """The same files as a stream; files arrive in the order of their modification time."""
+    """The same files as a stream; files arrive in the order of their modification time, lines in theirs."""
     scan = (
         spark.readStream.schema(TICK_CSV)
         .option("comment", "#")
         .option("columnNameOfCorruptRecord", "_bad")
         .csv(path)
     )
-    return parse_csv(scan, symbol, zone).where("readable").drop("readable", "line")
+    return parse_csv(with_file_place(scan), symbol, zone).where("readable").drop("readable", "line")
 
 
 def decode_json(lines: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -117,7 +148,7 @@ def stream_ndjson(spark: SparkSession, path: str, arrival: Column | None = None)
     """Payloads of JSON-lines files as a stream; malformed lines are skipped.
 
     ``arrival`` gives the arrival order where the source has one. Without it the streaming stages number the rows
-    of each micro-batch as they are read.
+    of each micro-batch by file time, path and line.
     """
     scan = spark.readStream.text(path)
-    return decode_json(scan if arrival is None else scan.withColumn("arrival_seq", arrival))[0]
+    return decode_json(with_file_place(scan) if arrival is None else scan.withColumn("arrival_seq", arrival))[0]

@@ -15,15 +15,25 @@ from pyspark.sql import functions as F
 
 from tickbars.operators import lateness, ordering
 from tickbars.settings import MAX_LATE_MS
+from tickbars.sources.ticks import numbered
 
 WATERMARKS = "symbol STRING, watermark_ms BIGINT"
 
 
+#: Micro-batches whose state is kept. A batch needs the state of the one before it, and may be run again.
+KEPT_BATCHES = 4
+
+
+def slot(path: str, batch: int) -> str:
+    """The folder of a batch's state; it is overwritten ``KEPT_BATCHES`` batches later."""
+    return f"{path}/slot={batch % KEPT_BATCHES}"
+
+
 class BatchTable:
-    """A small table with one parquet folder per micro-batch under ``path`` on shared storage.
+    """A small table under ``path`` on shared storage, as each of the last micro-batches left it.
 
     A batch reads what the one before it wrote and overwrites only its own folder, so running it again changes
-    nothing. ``initial`` is what stands before the first batch.
+    nothing. Folders are used in turn, so old states don't pile up. ``initial`` is what stands before the first batch.
     """
 
     def __init__(self, spark: SparkSession, path: str, initial: DataFrame) -> None:
@@ -34,14 +44,14 @@ class BatchTable:
     def at(self, batch: int) -> DataFrame:
         if batch < 0:
             return self.initial
-        return self.spark.read.schema(self.initial.schema).parquet(f"{self.path}/batch={batch}")
+        return self.spark.read.schema(self.initial.schema).parquet(slot(self.path, batch))
 
     def before(self, batch: int) -> DataFrame:
         return self.at(batch - 1)
 
     def write(self, batch: int, rows: DataFrame) -> DataFrame:
         """Store the rows and read them back, which also cuts their lineage."""
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        rows.write.mode("overwrite").parquet(slot(self.path, batch))
         return self.at(batch)
 
 
@@ -57,20 +67,14 @@ def classify_batch(
     rows_per_chunk: int = ordering.ROWS_PER_CHUNK,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of one micro-batch with ``lateness_ms``, and the watermarks after it."""
-    borders = ordering.chunk_borders(rows, order, rows_per_chunk)
     known = rows.join(before.withColumnRenamed("watermark_ms", "_known"), "symbol", "left")
     known = known.withColumn("_known", F.coalesce("_known", F.lit(0).cast("long")))
-    classified = lateness.with_lateness(known, order, time, borders, watermark="_known").drop("_known")
+    classified = lateness.with_lateness(known, order, time, None, "_known", rows_per_chunk).drop("_known")
     newest = rows.groupBy("symbol").agg(F.max(time).alias("watermark_ms"))
     after = before.unionByName(newest).groupBy("symbol").agg(F.max("watermark_ms").alias("watermark_ms"))
     return classified, after
 
 
-def numbered(rows: DataFrame, order: str) -> DataFrame:
-    """Rows with an arrival order: their own column, or the reading order inside the micro-batch."""
-    return rows if order in rows.columns else rows.withColumn(order, F.monotonically_increasing_id())
-
-
 def split_stream(
     watermarks: BatchTable,
     order: str,

@@ -29,8 +29,8 @@ def bins(ticks: DataFrame, bin_ms: int = BIN_MS, max_late_ms: int = MAX_LATE_MS,
         F.expr("max(px) AS high"),
         F.expr("min(px) AS low"),
         F.expr("max_by(px, arrival_seq) AS close"),
-        F.expr("CAST(sum(sz) AS DECIMAL(18,6)) AS volume"),
-        F.expr("CAST(sum(px * sz) AS DECIMAL(18,6)) AS notional"),
+        F.expr("CAST(sum(sz) AS DECIMAL(38,6)) AS volume"),
+        F.expr("CAST(sum(px * sz) AS DECIMAL(38,6)) AS notional"),
         F.expr("count(1) AS trade_count"),
         F.expr("0L AS max_lateness_ms"),
         F.expr("min(api_send_ts_ms) AS api_send_ts_ms"),
@@ -50,8 +50,8 @@ def bars(bin_rows: DataFrame, max_late_ms: int = MAX_LATE_MS, ingest: Column | N
         F.expr("max(high) AS high"),
         F.expr("min(low) AS low"),
         F.expr("max_by(close, start_ts_ms) AS close"),
-        F.expr("CAST(sum(volume) AS DECIMAL(18,6)) AS volume"),
-        F.expr("CAST(sum(notional) AS DECIMAL(18,6)) AS notional"),
+        F.expr("CAST(sum(volume) AS DECIMAL(38,6)) AS volume"),
+        F.expr("CAST(sum(notional) AS DECIMAL(38,6)) AS notional"),
         F.expr("count(1) AS bin_count"),
         F.expr("0L AS max_lateness_ms"),
         F.expr("min(api_send_ts_ms) AS api_send_ts_ms"),
@@ -70,8 +70,8 @@ def minutes(ticks: DataFrame, max_late_ms: int = MAX_LATE_MS) -> DataFrame:
         F.expr("max(px) AS high"),
         F.expr("min(px) AS low"),
         F.expr("max_by(px, arrival_seq) AS close"),
-        F.expr("CAST(sum(sz) AS DECIMAL(18,6)) AS volume"),
-        F.expr("CAST(sum(px * sz) AS DECIMAL(18,6)) AS notional"),
+        F.expr("CAST(sum(sz) AS DECIMAL(38,6)) AS volume"),
+        F.expr("CAST(sum(px * sz) AS DECIMAL(38,6)) AS notional"),
     )
     second_ms = seconds.withColumn("second_ms", _ms(F.col("window.start")))
     folded = second_ms.groupBy(F.window("window", "1 minute"), "symbol").agg(
@@ -79,8 +79,8 @@ def minutes(ticks: DataFrame, max_late_ms: int = MAX_LATE_MS) -> DataFrame:
         F.expr("max(high) AS high"),
         F.expr("min(low) AS low"),
         F.expr("max_by(close, second_ms) AS close"),
-        F.expr("CAST(sum(volume) AS DECIMAL(18,6)) AS volume"),
-        F.expr("CAST(sum(notional) AS DECIMAL(18,6)) AS notional"),
+        F.expr("CAST(sum(volume) AS DECIMAL(38,6)) AS volume"),
+        F.expr("CAST(sum(notional) AS DECIMAL(38,6)) AS notional"),
         F.expr("count(1) AS source_count"),
     )
     return folded.withColumn("start_ts_ms", _ms(F.col("window.start"))).drop("window")
