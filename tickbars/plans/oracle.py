@@ -214,7 +214,8 @@ def _sql(text: str) -> str:
     found: set[str] = set()
     _needs(text, found)
     steps = ",\n".join(f"{name} AS ({STEPS[name].strip()})" for name in _ORDER if name in found)
-    return f"WITH RECURSIVE {steps}\n{text.strip()}" if steps else text.strip()
+    word = "WITH RECURSIVE" if "fetches" in found else "WITH"
+    return f"{word} {steps}\n{text.strip()}" if steps else text.strip()
 
 
 def _d(*names: str) -> str:
