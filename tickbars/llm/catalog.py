@@ -18,9 +18,10 @@ from tickbars.llm import (
     queries_rules,
     queries_tokens,
 )
+from tickbars.llm.shared import shipped
 
 
-def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": queries_chat.op1_chat_format,
         "op2_token_count": queries_tokens.op2_token_count,
@@ -35,6 +36,14 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def _sent(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(shipped(spark), sf_dir)
+
+
+def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _sent(query) for name, query in _queries().items()}
+
+
 def oracle() -> dict[str, str]:
     return {
         "op1_chat_format": queries_chat.OP1_SQL,

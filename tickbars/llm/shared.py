@@ -2,19 +2,36 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_SHIPPED: set[str] = set()
+
 #: Bytes of text a task looks at in one go; temporaries are a small multiple of it.
 BLOCK_BYTES = 4_000_000
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session, with this package sent to its workers unless they find it by their own path."""
+    root = Path(__file__).resolve().parents[2]
+    reachable = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
+    context = spark.sparkContext
+    if root not in [p.resolve() for p in reachable] and context.applicationId not in _SHIPPED:
+        base = Path(tempfile.mkdtemp(prefix="tickbars-code-")) / "tickbars"
+        context.addPyFile(shutil.make_archive(str(base), "zip", root, "tickbars"))
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; only where that is unset (tests), a new temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", "")
