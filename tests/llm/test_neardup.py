@@ -81,7 +81,7 @@ def test_crowded_groups(spark, docs_of, seed):
     random.Random(seed).shuffle(texts)
     rows = list(enumerate(texts))
     for small in (3, 8):
-        got = answer(neardup.find_near_duplicates(docs_of(rows), plan=neardup.Plan(small=small)))
+        got = answer(neardup.find_near_duplicates(docs_of(rows), plan=neardup.Plan(small=small, few=small)))
         assert got == plain(rows)
 
 
@@ -93,7 +93,7 @@ def test_chain(spark, docs_of):
     for i in range(40):
         rows.append((100 + i, " ".join(words)))
         words[2 * i : 2 * i + 2] = [f"n{rng.random()}", f"m{i}"]
-    got = answer(neardup.find_near_duplicates(docs_of(rows), plan=neardup.Plan(small=2)))
+    got = answer(neardup.find_near_duplicates(docs_of(rows), plan=neardup.Plan(small=2, few=2)))
     assert got == plain(rows) and {r[2] for r in got} == {100}
 
 

@@ -40,8 +40,10 @@ class Plan:
     rows: int = 6
     sketch_bits: int = 1024
     slack: float = 0.15
-    #: Up to so many classes in a bucket all pairs are formed.
+    #: Up to so many classes in a bucket all pairs are formed; and, after a round, with up to so many outside the
+    #: bucket's largest component.
     small: int = 8
+    few: int = 128
     #: Counters of shingle frequencies that order rare before common; only the work depends on them.
     counters: int = 1 << 18
 
@@ -189,23 +191,27 @@ def _frequencies(plan: Plan):
 
 
 def _prefixes(plan: Plan, shared):
-    """Rare shingles of every set that a linked set must share one of: (shingle, node, size, position)."""
-    names = ["bucket", "node", "n", "place"]
+    """Rare shingles of every set that a linked set must share one of: shingle, node, size, position, and how far the
+    whole set is from common shingles; the text that a group's others were made from has the least of that."""
+    names = ["bucket", "node", "n", "place", "rarity"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            nodes, shingles, sizes, places = [], [], [], []
+            nodes, shingles, sizes, places, rarities = [], [], [], [], []
             for node, raw in zip(*(column_of(batch, c).to_pylist() for c in ("node", "shingles")), strict=True):
                 own = np.frombuffer(raw, U64)
-                own = own[np.lexsort((own, counts[own % U64(plan.counters)]))]
+                common = counts[own % U64(plan.counters)]
+                rarity = -int(1e6 * np.log1p(common).mean())
+                own = own[np.lexsort((own, common))]
                 n = len(own)
                 long = n + (-plan.percent * n // 100) + 1  # n - ceil(share of n) + 1
                 shingles.append(own[:long])
                 places.append(np.arange(long))
                 sizes.append(np.full(long, n))
+                rarities.append(np.full(long, rarity))
                 nodes += [node] * long
-            joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (shingles, sizes, places)]
+            joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (shingles, sizes, places, rarities)]
             columns = [pa.array(joined[0].view(np.int64)), pa.array(nodes, pa.binary()), *(pa.array(x.astype(np.int64)) for x in joined[1:])]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -246,7 +252,8 @@ class Search:
         """Component ``node, root`` of every class that has a link."""
         plan = self.plan
         bands = self.reps.select("node", F.explode("bands").alias("bucket"))
-        sizes = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        # Stored, so that the join's sides are plain shuffles and a crowded bucket's can be split.
+        sizes = stored(bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
         members = stored(bands.join(sizes, "bucket"), "buckets")
         few = stored(self.near(self.pairs_within(members.where(F.col("size") <= plan.small))), "pairs")
         crowded = members.where(F.col("size") > plan.small).select("node").distinct().withColumn("crowded", F.lit(True))
@@ -264,41 +271,61 @@ class Search:
         for row in totals.toLocalIterator():  # as many rows as counters at most
             counts[row.counter] = row.n
         shared = self.only.sparkSession.sparkContext.broadcast(counts)
-        prefix = crowd.mapInArrow(_prefixes(plan, shared), "bucket long, node binary, n long, place long")
-        sizes = prefix.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        prefix = crowd.mapInArrow(_prefixes(plan, shared), "bucket long, node binary, n long, place long, rarity long")
+        sizes = stored(prefix.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
         prefix = stored(prefix.join(sizes, "bucket"), "prefixes")
         little = self.near(self.pairs_within(prefix.where(F.col("size") <= plan.small)))
         links = stored(found.unionByName(self.confirmed(little, sets)), "links")
         rest = prefix.where(F.col("size") > plan.small).drop("size")
         return self.by_leaders(rest, links, sets)
 
+    def open_members(self, members: DataFrame, found: DataFrame) -> DataFrame:
+        """Members, with ``root``, that some member of their bucket in another component can still match.
+
+        Per bucket and set size the largest number of shingles from the place on is kept, and the largest of another
+        component. That is exact: no other member offers more, so a member that fails against all sizes matches nobody.
+        """
+        known = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = known.groupBy("bucket", "n", "root").agg(F.max(F.col("n") - F.col("place")).alias("left"))
+        first = rest.groupBy("bucket", "n").agg(F.max(F.struct("left", "root")).alias("top"))
+        second = rest.join(first, ["bucket", "n"]).where("root <> top.root").groupBy("bucket", "n").agg(F.max("left").alias("next"))
+        each = first.join(second, ["bucket", "n"], "left").select("bucket", F.struct(F.col("n").alias("m"), "top", "next").alias("offer"))
+        offers = stored(each.groupBy("bucket").agg(F.collect_list("offer").alias("offers")), "offers")
+        offer = "least(n - place, CASE WHEN o.top.root <> root THEN o.top.left ELSE coalesce(o.next, 0) END)"
+        match = F.expr(f"exists(offers, o -> {offer} >= ceil({self.plan.percent} * (n + o.m) / {100 + self.plan.percent}))")
+        return known.join(offers, "bucket").where(match).drop("offers")
+
     def by_leaders(self, members: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
         """Components once every feasible pair of the large buckets ``members`` was compared or needn't be.
 
-        A leader is compared with all members outside its component, then leaves its bucket; buckets with one component
-        left, and members that no other member can match by size and place, drop out.
+        Members that can still match someone in another component are compared: first all with their bucket's leader,
+        which then leaves it; after that all with the members outside the bucket's largest component where these are
+        few (every open pair has one of them), else with more leaders. Members drop out as they join a component.
         """
-        leaders_each = 1
+        leaders_each, few = 1, self.plan.small
         found = components(links)
         while True:
-            known = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            spread = known.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least_n"))
-            mixed = spread.where("low <> high").select("bucket", "least_n")
-            alive = known.join(mixed, "bucket").where(self.feasible("n", "place", f"greatest(least_n, ceil({self.plan.percent} * n / 100))", "0"))
-            alive = stored(alive.drop("least_n"), "alive")
+            alive = self.open_members(members, found)
+            sizes = alive.groupBy("bucket", "root").agg(F.count("*").alias("size"))
+            major = sizes.groupBy("bucket").agg(
+                F.max_by("root", F.struct("size", "root")).alias("major"), (F.sum("size") - F.max("size")).alias("minors")
+            )
+            alive = stored(alive.join(major, "bucket"), "alive")
             if alive.isEmpty():
                 return found
             part = F.pmod(F.xxhash64("node"), F.lit(leaders_each))
-            best = alive.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("place", "node", "n", "root")).alias("lead"))
-            leaders = best.select("bucket", F.col("lead.node").alias("leader"), F.col("lead.n").alias("m"), F.col("lead.place").alias("at"), F.col("lead.root").alias("top"))
-            asked = alive.join(leaders, "bucket").where("root <> top AND node <> leader").where(self.feasible("n", "place", "m", "at"))
-            pairs = asked.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
-            more = self.confirmed(self.near(pairs), sets)
-            links = stored(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "links")
-            gone = leaders.select("bucket", F.col("leader").alias("node"))
-            members = alive.drop("root").join(gone, ["bucket", "node"], "anti")
-            found = components(links)
-            leaders_each = min(4 * leaders_each, 64)
+            crowded = alive.where(F.col("minors") > few)
+            best = crowded.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("rarity", "node", "n", "place", "root")).alias("lead"))
+            leaders = stored(best.select("bucket", "lead.*"), "leaders")
+            others = leaders.unionByName(alive.where((F.col("minors") <= few) & (F.col("root") != F.col("major"))).select(leaders.columns))
+            others = others.select("bucket", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "root")))
+            asked = alive.join(others, "bucket").where("root <> root_b").where(self.feasible("n", "place", "n_b", "place_b"))
+            pairs = asked.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b")).distinct()
+            more = stored(self.confirmed(self.near(pairs), sets), "links")
+            members = crowded.join(leaders.select("bucket", "node"), ["bucket", "node"], "anti").select(members.columns)
+            if not more.isEmpty():
+                found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+            leaders_each, few = min(4 * leaders_each, 64), self.plan.few
 
 
 def _row_keys() -> list:
