@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tickbars.llm.shared import blocks, column_of, named, quoted, stored, texts_of
+from tickbars.llm.shared import blocks, column_of, named, stored, texts_of
 from tickbars.llm.tokens import byte_letters
 
 CAPACITY = 4096
@@ -266,15 +266,6 @@ def _pack_group(capacity: int, names: list[str]):
     return run
 
 
-def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str, capacity: int, with_ids: bool) -> DataFrame:
-    """Pieces ``__id, piece, start, length, ids_crc32`` (and ``ids``, little-endian 32-bit) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text())
-    picked = docs.select(named(id_col).alias("__id"), named(text_col).cast("string").alias("__text"))
-    kind = picked.schema["__id"].dataType.simpleString()
-    schema = f"__id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return picked.mapInArrow(_tokenize(shared, end_id, capacity, with_ids), schema)
-
-
 def pack_documents(
     docs: DataFrame,
     tokenizer_path: str,
@@ -294,10 +285,14 @@ def pack_documents(
     input; other columns are ignored; an empty table gives no rows. The packed pieces of the tasks are written to the
     shared folder once, so no text is tokenized twice.
     """
-    pieces = tokenize(docs, tokenizer_path, end_id, id_col, text_col, capacity, with_ids)
-    names = pieces.columns
-    schema = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    packed = stored(pieces.mapInArrow(_pack_tasks(capacity), schema), "packed")
+    shared = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text())
+    picked = docs.select(named(id_col).alias("__id"), named(text_col).cast("string").alias("__text"))
+    kind = picked.schema["__id"].dataType.simpleString()
+    schema = f"__id {kind}, piece int, start long, length long, ids_crc32 long{', ids binary' * with_ids}, sequence_id long, offset long"
+    names = ["__id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
+    tokenized, pack_pieces = _tokenize(shared, end_id, capacity, with_ids), _pack_tasks(capacity)
+    # One function, so that a task keeps one Python worker busy and not two.
+    packed = stored(picked.mapInArrow(lambda batches: pack_pieces(tokenized(batches)), schema), "packed")
     rest = packed.where("sequence_id IS NULL").drop("sequence_id", "offset")
     groups = -(-rest.count() // GROUP_PIECES) or 1
     group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("long")
