@@ -106,3 +106,54 @@ def test_copies_of_one_chunk_in_bulk(spark, docs_of):
     part = "\n".join(f"row {i} of a passage" for i in range(6))
     got = linechunks.drop_repeated_chunks(docs_of([(i, part) for i in range(400)])).where("text <> ''").collect()
     assert [r.doc_id for r in got] == [0]
+
+
+def passages(rows):
+    """(id, text) to id -> lines left, from every two neighbouring lines; for rows with ids of their own and no blank lines."""
+    first, out = {}, {}
+    for i, text in sorted(rows):
+        lines = text.split("\n")
+        gone = set()
+        for k in range(len(lines) - 1):
+            j, at = first.setdefault((lines[k], lines[k + 1]), (i, k))
+            if (j, at) != (i, k):
+                gone |= {k + 1} if (j, at) == (i, k - 1) else {k, k + 1}
+        out[i] = [x for k, x in enumerate(lines) if k not in gone]
+    return out
+
+
+def test_planted_passages_go_whole(spark, docs_of):
+    """Passages of 2 to 6 lines inside different documents: every line of every copy goes, and nothing else."""
+    rng = random.Random(5)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(8))
+    rows, planted, own = [], 0, {}
+    for n in range(2, 7):
+        for _ in range(12):
+            passage = [line() for _ in range(n)]
+            for copy in range(3):
+                head, tail = ([line() for _ in range(rng.randrange(1, 5))] for _ in range(2))
+                i = len(rows)
+                rows.append((i, "\n".join(head + passage + tail)))
+                own[i] = head + (passage if copy == 0 else []) + tail
+                planted += n * (copy > 0)
+    got = {r.doc_id: r for r in linechunks.drop_repeated_passages(docs_of(rows)).collect()}
+    assert {i: r.text.split("\n") for i, r in got.items()} == own == passages(rows)
+    assert sum(r.n_removed_lines for r in got.values()) == planted
+
+
+def test_query_removes_whole_passages(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = {r.doc_id: r.text for r in queries_linechunks.op8_line_dedup(spark, sf_dir).collect()}
+    plain_rows = [(i, t) for i, t in rows if t and not any(not x.strip() for x in t.split("\n"))]
+    assert len(plain_rows) == sum(bool(t) for _, t in rows)
+    assert {i: got[i].removesuffix("\n").split("\n") for i, _ in plain_rows} == {i: x or [""] for i, x in passages(plain_rows).items()}
+
+
+def test_passages_of_odd_rows(spark, docs_of):
+    part = "\n".join(f"row {i} of a passage" for i in range(6))
+    rows = [(0, None), (1, ""), (2, "\n\n\n\n"), (3, "\n\n\n\n"), (4, part), (5, part), (6, "own\n" + part + "\nend"), (7, "a\na\na\na"), (8, "one line"), (9, "one line"), (10, "b\nc\n\n\n"), (11, "b\nc\n\n\n")]
+    got = {r.doc_id: r for r in linechunks.drop_repeated_passages(docs_of(rows), prefix="x_").collect()}
+    assert [got[i].text for i in range(12)] == [None, "", "\n\n\n\n", "\n\n\n\n", part, "", "own\nend", "a\na\n", "one line", "one line", "b\nc\n\n\n", ""]
+    assert (got[6].x_n_lines, got[6].x_n_chunks, got[6].x_n_removed_chunks, got[6].x_n_removed_lines) == (8, 7, 5, 6)
+    assert got[0].x_n_lines == 0 and got[11].x_n_removed_lines == got[11].x_n_lines
+    assert linechunks.drop_repeated_passages(docs_of(rows).limit(0)).count() == 0

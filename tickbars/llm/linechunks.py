@@ -3,12 +3,16 @@
 A rolling hash over the hashes of the last few lines says where a chunk ends, so the same passage is cut in the same way
 wherever it stands and however much precedes it. Chunks of several lines that occur in more than one place of the corpus
 stay in the first place (smallest id, then position) and are taken out of the others, after their bytes were compared.
+
+``drop_repeated_passages`` takes every two neighbouring lines as a chunk. Its borders depend on its own lines only, chunks
+overlap, and what is repeated grows line by line from one chunk to the next, so a passage goes from its first line to its
+last wherever it lies in a text.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -89,19 +93,30 @@ def cut(data: np.ndarray, offsets: np.ndarray, cutting: Cutting) -> Chunks:
     return Chunks(start[heads], end[tails - 1] if n else end, tails - heads, owner, ordinal)
 
 
+def pairs(data: np.ndarray, offsets: np.ndarray) -> Chunks:
+    """Every two neighbouring lines of a text; a pair's number is that of its first line."""
+    start, end, text = _line_spans(data, offsets)
+    at = np.flatnonzero(text[1:] == text[:-1])
+    first = np.searchsorted(text, np.arange(len(offsets)))
+    return Chunks(start[at], end[at + 1], np.full(len(at), 2), text[at], at - first[text[at]])
+
+
+Finder = Callable[[np.ndarray, np.ndarray], Chunks]
+
+
 def _wide_hash(raw: bytes) -> bytes:
     return hashlib.blake2b(raw, digest_size=16).digest()
 
 
-def _chunk_hashes(cutting: Cutting):
+def _chunk_hashes(find: Finder, min_lines: int):
     names = ["id", "number", "hash"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             data, offsets = buffers(texts_of(block))
-            found = cut(data, offsets, cutting)
+            found = find(data, offsets)
             raw = data.tobytes()
-            many = np.flatnonzero(found.lines >= cutting.min_lines)
+            many = np.flatnonzero(found.lines >= min_lines)
             many = [i for i in many.tolist() if raw[found.start[i] : found.end[i]].strip()]
             hashes = [_wide_hash(raw[found.start[i] : found.end[i]]) for i in many]
             ids = column_of(block, "__id").take(pa.array(found.text[many], pa.int64()))
@@ -110,14 +125,14 @@ def _chunk_hashes(cutting: Cutting):
     return run
 
 
-def _chunk_bytes(cutting: Cutting):
+def _chunk_bytes(find: Finder):
     """The bytes of the chunks asked for in ``places`` (number, hash, first), where the text still has them."""
     names = ["id", "number", "hash", "first", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             data, offsets = buffers(texts_of(block))
-            found = cut(data, offsets, cutting)
+            found = find(data, offsets)
             raw = data.tobytes()
             firsts = np.searchsorted(found.text, np.arange(len(offsets)))
             rows, owners = [], []
@@ -165,6 +180,57 @@ def _rewrite(cutting: Cutting, fields: list[str], names: list[str]):
     return run
 
 
+def _passages_out(start: list[int], end: list[int], raw: bytes, gone: set[int]) -> set[int]:
+    """The lines of one text that go, from the numbers of its repeated pairs.
+
+    Where a line stands three times running, the second pair shares a line with the first one, which stays. Blank lines
+    that go on from a blank line that goes, go too: pairs of them are never looked up.
+    """
+    lines = [raw[a:b] for a, b in zip(start, end, strict=True)]
+    out = set()
+    for k in gone:
+        if k - 1 in gone or k == 0 or not lines[k - 1] == lines[k] == lines[k + 1]:
+            out.add(k)
+        out.add(k + 1)
+    for way, step in ((range(1, len(lines)), -1), (range(len(lines) - 2, -1, -1), 1)):
+        for k in way:
+            if k + step in out and not lines[k].strip() and not lines[k + step].strip():
+                out.add(k)
+    return out
+
+
+def _rewrite_passages(fields: list[str], names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            data, offsets = buffers(texts_of(block))
+            found = pairs(data, offsets)
+            start, end, text = _line_spans(data, offsets)
+            raw = data.tobytes()
+            firsts = np.searchsorted(found.text, np.arange(len(offsets)))
+            heads = np.searchsorted(text, np.arange(len(offsets)))
+            texts = column_of(block, "__text").to_pylist()
+            counts = []
+            for i, listed in enumerate(column_of(block, "gone").to_pylist()):
+                n, many = int(heads[i + 1] - heads[i]), int(firsts[i + 1] - firsts[i])
+                gone = set()
+                for g in listed or ():
+                    k = firsts[i] + g["number"]
+                    if k < firsts[i + 1] and _wide_hash(raw[found.start[k] : found.end[k]]) == g["hash"]:
+                        gone.add(g["number"])
+                out = set()
+                if gone:
+                    begin = start[heads[i] : heads[i + 1]].tolist()
+                    out = _passages_out(begin, end[heads[i] : heads[i + 1]].tolist(), raw, gone)
+                    stops = [*begin[1:], int(offsets[i + 1])]
+                    texts[i] = b"".join(raw[a:b] for k, (a, b) in enumerate(zip(begin, stops, strict=True)) if k not in out).decode()
+                counts.append((n, many, len(gone), len(out)))
+            made = [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)]
+            kept = [pa.array(texts, pa.string()) if f == "__text" else column_of(block, f) for f in fields]
+            yield pa.RecordBatch.from_arrays([*kept, *made], names=names)
+
+    return run
+
+
 def drop_repeated_chunks(
     docs: DataFrame,
     keep: tuple[str, ...] = ("doc_id", "text"),
@@ -186,6 +252,36 @@ def drop_repeated_chunks(
     Hashes are aggregated before the shuffle, so a chunk in a third of all documents costs a row per task; texts move by
     id, and chunk bytes only of repeated chunks.
     """
+    return _drop(docs, keep, id_col, text_col, prefix, lambda d, o: cut(d, o, cutting), cutting.min_lines, lambda *names: _rewrite(cutting, *names))
+
+
+def drop_repeated_passages(
+    docs: DataFrame,
+    keep: tuple[str, ...] = ("doc_id", "text"),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    prefix: str = "",
+) -> DataFrame:
+    """Like ``drop_repeated_chunks``, with every two neighbouring lines as a chunk: the columns ``keep`` of every row, its
+    text without the lines of repeated pairs, and the same counts after ``prefix``.
+
+    Whatever run of two lines or more stands elsewhere before goes as a whole. Two blank lines are no repeat, but blank
+    lines that go on from one that goes, go too. A removed line always stands elsewhere before, and the first place of
+    every line stays; a single repeated line between lines of its own stays as well.
+    """
+    return _drop(docs, keep, id_col, text_col, prefix, pairs, 2, _rewrite_passages)
+
+
+def _drop(
+    docs: DataFrame,
+    keep: tuple[str, ...],
+    id_col: str,
+    text_col: str,
+    prefix: str,
+    find: Finder,
+    min_lines: int,
+    rewrite: Callable,
+) -> DataFrame:
     made = [prefix + n for n in ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")]
     if set(made) & set(keep):
         raise ValueError(f"{sorted(set(made) & set(keep))}: choose a prefix")
@@ -196,7 +292,7 @@ def drop_repeated_chunks(
     only = picked.select("__id", "__text")
 
     chunk = f"id {kinds['__id']}, number int, hash binary"
-    places = stored(only.mapInArrow(_chunk_hashes(cutting), chunk), "chunks")
+    places = stored(only.mapInArrow(_chunk_hashes(find, min_lines), chunk), "chunks")
     place = F.struct("id", "number")
     repeated = places.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = repeated.where(~F.col("first").eqNullSafe(F.col("last"))).select("hash", "first")
@@ -205,10 +301,10 @@ def drop_repeated_chunks(
     asked = places.join(repeated, "hash").withColumn("is_first", place.eqNullSafe(F.col("first")))
     asked = asked.groupBy("id").agg(F.collect_set(F.struct("number", "hash", F.col("is_first").alias("first"))).alias("places"))
     bodies = only.join(asked, F.col("__id").eqNullSafe(F.col("id"))).drop("id")
-    copies = stored(bodies.mapInArrow(_chunk_bytes(cutting), f"{chunk}, first boolean, bytes binary"), "chunk-bytes")
+    copies = stored(bodies.mapInArrow(_chunk_bytes(find), f"{chunk}, first boolean, bytes binary"), "chunk-bytes")
     kept = stored(copies.where("first").groupBy("hash").agg(F.first("bytes").alias("kept")), "kept-chunks")
     gone = copies.where("NOT first").join(kept, "hash").where("bytes = kept")
     gone = gone.groupBy("id").agg(F.collect_set(F.struct("number", "hash")).alias("gone"))
     joined = picked.join(gone, F.col("__id").eqNullSafe(F.col("id")), "left").drop("id")
     schema = ", ".join([*(f"{quoted(c)} {kinds[f]}" for c, f in zip(keep, own, strict=True)), *(f"{quoted(m)} long" for m in made)])
-    return joined.mapInArrow(_rewrite(cutting, own, [*keep, *made]), schema)
+    return joined.mapInArrow(rewrite(own, [*keep, *made]), schema)

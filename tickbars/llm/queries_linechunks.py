@@ -8,4 +8,4 @@ from tickbars.llm import linechunks
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linechunks.drop_repeated_chunks(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return linechunks.drop_repeated_passages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
