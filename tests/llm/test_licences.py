@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 from tickbars.llm import licences, queries_licences
@@ -55,6 +56,21 @@ def test_every_template_is_found(spark, docs_of):
         assert name in got[i].labels.split(","), name
 
 
+def test_files_with_several_licences(spark, docs_of):
+    """Two to five whole templates in one file, in a corpus that makes their words differ in rarity."""
+    every = licences.TEMPLATES
+    sets = [list(c) for n, step in ((2, 1), (3, 5), (4, 11), (5, 17)) for c in list(itertools.combinations(every, n))[::step]]
+    texts = ["\n".join(f"{FILLER}\n{text}" for _, text, _ in own) for own in sets]
+    stray = " ".join(sorted({w for _, text, _ in every for w in text.split()}, reverse=True))
+    texts += [f"{FILLER} {text}\n{stray}" for _, text, _ in every]
+    sets += [[x] for x in every]
+    got = scanned(docs_of([*texts, *(text for k, (_, text, _) in enumerate(every) for _ in range(k))]))
+    for i, own in enumerate(sets):
+        assert {name for name, _, _ in own} <= set(got[i].labels.split(",")), i
+        starts = {f.template: f.start for f in got[i].found}
+        assert all(starts[name] == 50 + sum(50 + len(t.split()) for _, t, _ in own[:k]) for k, (name, _, _) in enumerate(own) if not name.endswith("notice"))
+
+
 def test_repeated_rows_and_empty_table(spark, docs_of):
     frame = docs_of([(1, "mit license"), (1, "mit license"), (None, "a")])
     assert sorted((r.doc_id or 0, r.n_base) for r in licences.scan_licences(frame).collect()) == [(0, 0), (1, 1), (1, 1)]

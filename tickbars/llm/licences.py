@@ -1,7 +1,7 @@
 """Licence scan with a positional index of rare licence words, in DataFrame functions only.
 
-For every template the index holds the places of its words that fewest documents contain. A file looks up its rarest
-indexed words: each occurrence votes for (template, file place - template place), and only where enough different places
+For every template the index holds the places of its words that fewest documents contain. A file looks up every indexed
+word it holds: each occurrence votes for (template, file place - template place), and only where enough different places
 of one template agree on that shift are its mandatory phrases compared, word by word, at the places the shift gives.
 """
 
@@ -35,7 +35,10 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Scan:
-    """Places indexed per template, words looked up per file, and tenths of a template's places that must agree."""
+    """Places indexed per template, and tenths of a template's places that must agree.
+
+    Only the SQL counterpart limits the words ``looked_up`` per file; the scan looks up all.
+    """
 
     places: int = 6
     looked_up: int = 12
@@ -102,14 +105,9 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.select(
         "*",
         *(F.when(F.col("licensed"), _starts("words", p)).otherwise(F.expr("CAST(array() AS ARRAY<INT>)")).alias(f"base_{b}") for p, b in BASE),
-        F.expr(
-            f"""CASE WHEN size(held) > 1 THEN transform(slice(array_sort(transform(held,
-                w -> struct(get(filter(index, e -> e.word = w), 0).n AS n, w AS word))), 1, {scan.looked_up}), x -> x.word)
-            END"""
-        ).alias("rare"),
     )
-    votes = """CASE WHEN rare IS NOT NULL THEN array_sort(flatten(transform(
-        filter(transform(words, (w, i) -> struct(w AS word, i AS place)), x -> array_contains(rare, x.word)),
+    votes = """CASE WHEN size(held) > 1 THEN array_sort(flatten(transform(
+        filter(transform(words, (w, i) -> struct(w AS word, i AS place)), x -> array_contains(held, x.word)),
         x -> transform(filter(index, e -> e.word = x.word),
             e -> struct(e.template AS template, x.place - e.at AS shift, e.at AS at, e.need AS need, e.size AS size)))))
         ELSE array() END"""
