@@ -129,3 +129,25 @@ def test_changes_raise_squared_fill():
     bins = packing.best_fit([(rng.randrange(20, 70), i) for i in range(80)], 100)
     before = sum((100 - b.free) ** 2 for b in bins)
     assert sum((100 - b.free) ** 2 for b in packing.improve(bins, 100)) >= before
+
+
+@pytest.mark.parametrize(("low", "high", "most"), [(700, 2000, 1.035), (1100, 2000, 1.1), (400, 1800, 1.0)])
+def test_mid_lengths_near_the_bound(low, high, most):
+    """Some thousand pieces of a tenth to a half of a sequence: bins against the lower bound and best fit."""
+    rng = random.Random(1)
+    lengths = [rng.randint(low, high) for _ in range(3000)]
+    bins = packing.pack(lengths, 4096)
+    assert sorted(r for b in bins for _, r in b.items) == list(range(3000))
+    assert len(bins) <= most * -(-sum(lengths) // 4096)
+    assert len(bins) < len(packing.best_fit([(n, i) for i, n in enumerate(lengths)], 4096))
+
+
+def test_no_bin_has_a_change_left():
+    """Where bins could still be saved, no underfull bin has a change with any other that raises squared fill."""
+    rng = random.Random(2)
+    under = [b for b in packing.pack([rng.randint(1100, 2000) for _ in range(600)], 4096) if b.free]
+    assert sum(b.free for b in under) >= 4096 and len(under) > 40
+    for source in under:
+        for target in under:
+            if source is not target and (found := packing.best_change(source, target)):
+                assert target.free - found[0] >= source.free

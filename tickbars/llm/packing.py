@@ -1,9 +1,10 @@
 """Best-fit packing of token sequences, improved by swaps.
 
 Texts become token ids; long ones are cut into full pieces. Pieces are packed where they are read: a task packs a block
-of pieces at a time by best fit, longest first, then searches locally. Between bins that are not full it moves a piece,
-exchanges one for one, or two for one, whenever that raises the sum of squared fills; fuller bins get full and emptier
-ones empty. What is still underfull joins the next block, and what a task has left at its end (a bounded number of
+of pieces at a time by best fit, longest first, then searches locally. Between bins that are not full it moves one piece
+or two, or exchanges one for one or two for one, whenever that raises the sum of squared fills; fuller bins get full and
+emptier ones empty. Every such bin is a source in turn, any other its target (an index by room finds the best), until a
+whole round changes nothing or no bin can be saved. What is still underfull joins the next block, and what a task has left at its end (a bounded number of
 pieces) is packed once more in groups over all tasks. Only those few light rows are shuffled.
 """
 
@@ -11,11 +12,12 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,8 +30,6 @@ from tickbars.llm.tokens import byte_letters
 CAPACITY = 4096
 #: Pieces (and tokens) packed together, pieces carried on from block to block, and pieces of a group at the end.
 BLOCK_PIECES, BLOCK_TOKENS, CARRIED, GROUP_PIECES = 20_000, 16_000_000, 2_000, 20_000
-#: Bins on either side of the local search, and rounds of it.
-SOURCES, TARGETS, ROUNDS = 24, 64, 12
 
 #: Chunks of text whose ids a worker remembers; beyond it the older half is dropped.
 REMEMBERED = 300_000
@@ -153,47 +153,108 @@ def best_change(source: Bin, target: Bin) -> tuple[int, list, list] | None:
             best = (sizes[k] - given, [own[k]], [back] if back else [])
         if best and best[0] == target.free:
             return best
-        if back:
-            last = None
-            for i in range(len(own) - 1, 0, -1):
-                if sizes[i] == last or sizes[i] >= room:
-                    continue
-                last = sizes[i]
-                j = largest(room - sizes[i], i)
-                if j >= 0 and sizes[i] + sizes[j] > given and (best is None or sizes[i] + sizes[j] - given > best[0]):
-                    best = (sizes[i] + sizes[j] - given, [own[i], own[j]], [back])
-            if best and best[0] == target.free:
-                return best
+        last = None
+        for i in range(len(own) - 1, 0, -1):
+            if sizes[i] == last or sizes[i] >= room:
+                continue
+            last = sizes[i]
+            j = largest(room - sizes[i], i)
+            if j >= 0 and sizes[i] + sizes[j] > given and (best is None or sizes[i] + sizes[j] - given > best[0]):
+                best = (sizes[i] + sizes[j] - given, [own[i], own[j]], [back] if back else [])
+        if best and best[0] == target.free:
+            return best
     return best
 
 
+class Rooms:
+    """The places of underfull bins by room: a bin's free room, alone or with one of its pieces given back.
+
+    ``least`` has for each room the shortest piece to give back, as ``piece * base + room``.
+    """
+
+    def __init__(self, bins: list[Bin], capacity: int):
+        self.capacity, self.base = capacity, 2 * capacity + 2
+        self.none = self.base * self.base
+        self.least = np.full(self.base, self.none, np.int64)
+        self.places: dict[int, dict[int, dict[int, Bin]]] = defaultdict(dict)
+        for b in bins:
+            self.add(b)
+
+    def add(self, b: Bin) -> None:
+        for n in {0, *(n for n, _ in b.items)}:
+            room = b.free + n
+            self.places[room].setdefault(n, {})[id(b)] = b
+            self.least[room] = min(self.least[room], n * self.base + room)
+
+    def drop(self, b: Bin) -> None:
+        for n in {0, *(n for n, _ in b.items)}:
+            room = b.free + n
+            held = self.places[room]
+            del held[n][id(b)]
+            if not held[n]:
+                del held[n]
+                self.least[room] = min(held) * self.base + room if held else self.none
+
+    def target(self, source: Bin) -> Bin | None:
+        """The bin that gains most from one or two pieces of ``source``, one that gets full before any other; the source
+        itself must not be among the places.
+
+        Giving ``c`` into a place with room ``r`` raises the squared fills if ``c <= r < c + source.free``.
+        """
+        many = Counter(n for n, _ in source.items)
+        kinds = list(many)
+        sums = {*kinds, *(2 * n for n in kinds if many[n] > 1), *(a + b for i, a in enumerate(kinds) for b in kinds[:i])}
+        given = np.array(sorted(c for c in sums if c <= self.capacity), np.int64)
+        exact = self.least[given]
+        gains = given - exact // self.base
+        best = int(gains.argmax())
+        if gains[best] <= 0:
+            span, lowest = 1, self.least
+            while 2 * span <= source.free:
+                lowest = np.minimum(lowest[:-span], lowest[span:])
+                span *= 2
+            exact = np.minimum(lowest[given], lowest[given + source.free - span])
+            gains = given - exact // self.base
+            best = int(gains.argmax())
+            if gains[best] <= 0:
+                return None
+        piece, room = divmod(int(exact[best]), self.base)
+        return next(iter(self.places[room][piece].values()))
+
+
 def improve(bins: list[Bin], capacity: int) -> list[Bin]:
     """Local search between underfull bins; squared fill only rises, and empty bins go."""
     full = [b for b in bins if not b.free]
     under = [b for b in bins if b.free]
-    for _ in range(ROUNDS):
-        if sum(capacity - b.free for b in under) > capacity * (len(under) - 1):
-            break  # as few bins as there can be
+    spare = sum(b.free for b in under)  # under one bin: as few bins as there can be
+    rooms = Rooms(under if spare >= capacity else [], capacity)
+    changed = True
+    while changed and spare >= capacity:
         changed = False
-        under.sort(key=lambda b: -b.free)
-        for source in under[:SOURCES]:
-            for target in sorted((b for b in under if b is not source and b.free), key=lambda b: b.free)[:TARGETS]:
-                if not source.items or target.free >= source.free or not target.free:
-                    continue
-                found = best_change(source, target)
-                if found:
-                    _, give, back = found
-                    for item in give:
-                        source.take(item)
-                        target.put(item)
-                    for item in back:
-                        target.take(item)
-                        source.put(item)
-                    changed = True
+        for source in sorted(under, key=lambda b: -b.free):
+            if spare < capacity:
+                break
+            if not source.free:
+                continue
+            rooms.drop(source)
+            while source.items and (target := rooms.target(source)):
+                _, give, back = best_change(source, target)
+                rooms.drop(target)
+                for item in give:
+                    source.take(item)
+                    target.put(item)
+                for item in back:
+                    target.take(item)
+                    source.put(item)
+                if target.free:
+                    rooms.add(target)
+                changed = True
+            if source.items:
+                rooms.add(source)
+            else:
+                spare -= capacity
         full += [b for b in under if not b.free]
         under = [b for b in under if b.free and b.items]
-        if not changed:
-            break
     return full + under
 
 
