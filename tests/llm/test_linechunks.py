@@ -157,3 +157,13 @@ def test_passages_of_odd_rows(spark, docs_of):
     assert (got[6].x_n_lines, got[6].x_n_chunks, got[6].x_n_removed_chunks, got[6].x_n_removed_lines) == (8, 7, 5, 6)
     assert got[0].x_n_lines == 0 and got[11].x_n_removed_lines == got[11].x_n_lines
     assert linechunks.drop_repeated_passages(docs_of(rows).limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_only(spark, docs_of):
+    """A passage at the start of many texts with one id, null or not, is repeated in all but one."""
+    part = "\n".join(f"row {i} of a passage" for i in range(6))
+    for i in (None, 7):
+        rows = [(i, f"{part}\nown {k}\nend {k}") for k in range(20)]
+        got = [r.text for r in linechunks.drop_repeated_passages(docs_of(rows)).collect()]
+        assert sorted(len(t.split("\n")) for t in got) == [2] * 19 + [8]
+        assert {t[-len(f"own {k}\nend {k}") :] for k, t in enumerate(sorted(got, key=lambda t: int(t.split()[-1])))} == {f"own {k}\nend {k}" for k in range(20)}

@@ -109,7 +109,7 @@ def _wide_hash(raw: bytes) -> bytes:
 
 
 def _chunk_hashes(find: Finder, min_lines: int):
-    names = ["id", "number", "hash"]
+    names = ["id", "print", "number", "hash"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -119,15 +119,16 @@ def _chunk_hashes(find: Finder, min_lines: int):
             many = np.flatnonzero(found.lines >= min_lines)
             many = [i for i in many.tolist() if raw[found.start[i] : found.end[i]].strip()]
             hashes = [_wide_hash(raw[found.start[i] : found.end[i]]) for i in many]
-            ids = column_of(block, "__id").take(pa.array(found.text[many], pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(found.number[many], pa.int32()), pa.array(hashes, pa.binary())], names=names)
+            owners = pa.array(found.text[many], pa.int64())
+            whose = [column_of(block, c).take(owners) for c in ("__id", "__print")]
+            yield pa.RecordBatch.from_arrays([*whose, pa.array(found.number[many], pa.int32()), pa.array(hashes, pa.binary())], names=names)
 
     return run
 
 
 def _chunk_bytes(find: Finder):
     """The bytes of the chunks asked for in ``places`` (number, hash, first), where the text still has them."""
-    names = ["id", "number", "hash", "first", "bytes"]
+    names = ["id", "print", "number", "hash", "first", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -145,8 +146,8 @@ def _chunk_bytes(find: Finder):
                         owners.append(i)
             kinds = [pa.int32(), pa.binary(), pa.bool_(), pa.binary()]
             columns = zip(*rows, strict=True) if rows else [()] * 4
-            ids = column_of(block, "__id").take(pa.array(owners, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=names)
+            whose = [column_of(block, c).take(pa.array(owners, pa.int64())) for c in ("__id", "__print")]
+            yield pa.RecordBatch.from_arrays([*whose, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=names)
 
     return run
 
@@ -247,7 +248,7 @@ def drop_repeated_chunks(
     where id and position are smallest (a null id is smaller than any other).
 
     Rows that share id and text are one document: their chunks aren't repeats of each other. Rows that share an id only
-    are judged each by its own text. Null texts stay null; an empty table gives no rows; other columns are ignored.
+    are documents of their own, in an order fixed by a hash of the text. Null texts stay null; an empty table gives no rows; other columns are ignored.
 
     Hashes are aggregated before the shuffle, so a chunk in a third of all documents costs a row per task; texts move by
     id, and chunk bytes only of repeated chunks.
@@ -289,22 +290,25 @@ def _drop(
     columns = {"__id": id_col, "__text": text_col, **dict(zip(own, keep, strict=True))}
     picked = docs.select(*(named(c).cast("string").alias(f) if f == "__text" else named(c).alias(f) for f, c in columns.items()))
     kinds = {f.name: f.dataType.simpleString() for f in picked.schema}
-    only = picked.select("__id", "__text")
+    # Rows that share an id only are told apart by a hash of the text.
+    picked = picked.withColumn("__print", F.xxhash64("__text"))
+    only = picked.select("__id", "__print", "__text")
+    own_row = F.col("__id").eqNullSafe(F.col("id")) & (F.col("__print") == F.col("print"))
 
-    chunk = f"id {kinds['__id']}, number int, hash binary"
+    chunk = f"id {kinds['__id']}, print long, number int, hash binary"
     places = stored(only.mapInArrow(_chunk_hashes(find, min_lines), chunk), "chunks")
-    place = F.struct("id", "number")
+    place = F.struct("id", "print", "number")
     repeated = places.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = repeated.where(~F.col("first").eqNullSafe(F.col("last"))).select("hash", "first")
     # Stored before a join, an aggregate is one more plain side of it, and the side of a hot chunk can be split.
     repeated = stored(repeated, "repeated-chunks")
     asked = places.join(repeated, "hash").withColumn("is_first", place.eqNullSafe(F.col("first")))
-    asked = asked.groupBy("id").agg(F.collect_set(F.struct("number", "hash", F.col("is_first").alias("first"))).alias("places"))
-    bodies = only.join(asked, F.col("__id").eqNullSafe(F.col("id"))).drop("id")
+    asked = asked.groupBy("id", "print").agg(F.collect_set(F.struct("number", "hash", F.col("is_first").alias("first"))).alias("places"))
+    bodies = only.join(asked, own_row).drop("id", "print")
     copies = stored(bodies.mapInArrow(_chunk_bytes(find), f"{chunk}, first boolean, bytes binary"), "chunk-bytes")
     kept = stored(copies.where("first").groupBy("hash").agg(F.first("bytes").alias("kept")), "kept-chunks")
     gone = copies.where("NOT first").join(kept, "hash").where("bytes = kept")
-    gone = gone.groupBy("id").agg(F.collect_set(F.struct("number", "hash")).alias("gone"))
-    joined = picked.join(gone, F.col("__id").eqNullSafe(F.col("id")), "left").drop("id")
+    gone = gone.groupBy("id", "print").agg(F.collect_set(F.struct("number", "hash")).alias("gone"))
+    joined = picked.join(gone, own_row, "left").drop("id", "print")
     schema = ", ".join([*(f"{quoted(c)} {kinds[f]}" for c, f in zip(keep, own, strict=True)), *(f"{quoted(m)} long" for m in made)])
     return joined.mapInArrow(rewrite(own, [*keep, *made]), schema)
