@@ -14,6 +14,7 @@ from tickbars.llm import (
     queries_linechunks,
     queries_neardup,
     queries_packing,
+    queries_prefix_trie,
     queries_quality,
     queries_rules,
     queries_tokens,
@@ -33,6 +34,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": queries_linechunks.op8_line_dedup,
         "op9_suffix_dedup": queries_exactdedup.op9_suffix_dedup,
         "op10_quality_rules": queries_rules.op10_quality_rules,
+        "op11_conversation_prefix_trie": queries_prefix_trie.op11_conversation_prefix_trie,
     }
 
 
@@ -49,4 +51,5 @@ def oracle() -> dict[str, str]:
         "op1_chat_format": queries_chat.OP1_SQL,
         "op3_license_scan": queries_licences.OP3_SQL,
         "op6_decontaminate": queries_decontam.OP6_SQL,
+        "op11_conversation_prefix_trie": queries_prefix_trie.OP11_SQL,
     }
