@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickbars.llm import (
+    queries_alignment,
     queries_chat,
     queries_decontam,
     queries_exactdedup,
@@ -17,6 +18,7 @@ from tickbars.llm import (
     queries_prefix_trie,
     queries_quality,
     queries_rules,
+    queries_set_join,
     queries_tokens,
 )
 from tickbars.llm.shared import shipped
@@ -35,6 +37,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": queries_exactdedup.op9_suffix_dedup,
         "op10_quality_rules": queries_rules.op10_quality_rules,
         "op11_conversation_prefix_trie": queries_prefix_trie.op11_conversation_prefix_trie,
+        "op12_tokenizer_alignment": queries_alignment.op12_tokenizer_alignment,
+        "op13_ngram_jaccard_join": queries_set_join.op13_ngram_jaccard_join,
     }
 
 
