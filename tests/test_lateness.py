@@ -68,8 +68,8 @@ def test_one_plan_at_every_size(spark, ticks_of):
 
 
 def _sizes(frame, rows_per_chunk):
-    chunk = ordering.even_chunk(frame, "arrival_seq", rows_per_chunk)
-    return [r["count"] for r in frame.groupBy(chunk.alias("chunk")).count().collect()]
+    chunked = ordering.with_even_chunk(frame, "arrival_seq", rows_per_chunk, "chunk")
+    return [r["count"] for r in chunked.groupBy("chunk").count().collect()]
 
 
 def test_counts(ticks_of):

@@ -217,7 +217,7 @@ def test_reconcile_finds_exactly_the_seeded_faults(bars_of):
     assert quality.all_examples(quality.reconcile(good, bad)).count() == 3
 
 
-@pytest.mark.parametrize("values", [[], [7], list(range(19)), list(range(20)), list(range(21)), list(range(100)), [-5, 3], [10**6, 1, 70_000, 70_001, 5] * 4])
+@pytest.mark.parametrize("values", [[], [7], list(range(19)), list(range(20)), list(range(21)), list(range(100)), [-5, 3], [10**6, 1, 70_000, 70_001, 5] * 4, [2**62, 2**48 - 1, 2**48, 2**32 + 5] * 7, list(range(30)) + [1_735_822_800_000]])
 def test_latency_rank(spark, values):
     rows = spark.createDataFrame([(0, v) for v in values], "end_ts_ms BIGINT, ingest_ts_ms BIGINT")
     sorted_values = sorted(max(v, 0) for v in values)
@@ -337,6 +337,49 @@ def test_backfill(spark, bars_of):
     assert each[2] == (11.0, 11.0, 11.0, 5.0, T0 + 60_000, history) and each[1] == got[1] and each[4] == got[4]
 
 
+def _fetches(asks, wait, longest):
+    """The fold over all asks of a symbol, in order."""
+    out, state = [], {}
+    for symbol, at, quote, found in sorted(asks, key=lambda a: (a[0], a[1])):
+        own = state.setdefault(symbol, {"wait": wait, "next": -(10**18)})
+        if at < own["next"]:
+            continue
+        own["wait"] = wait if found else min(2 * own["wait"], longest)
+        own["next"] = at + own["wait"]
+        if found:
+            out.append((symbol, at, quote))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("wait,longest", [(30_000, 300_000), (7, 50), (300_000, 300_000), (1_000, 500)])
+def test_fetches_equal_the_fold(spark, wait, longest):
+    """Crowded minutes, empty hours and days, chains over midnight, and hours that a chain leaps over."""
+    rng = random.Random(wait)
+    asks, at = [], {s: T0 for s in "ABCD"}
+    for k in range(6_000):
+        symbol = rng.choice("AABCD")
+        step = {"A": 3_000, "B": rng.choice([10, 200_000]), "C": rng.choice([1, 5, 40_000_000]), "D": 290_000}[symbol]
+        at[symbol] += rng.randint(1, step)
+        asks.append((symbol, at[symbol], k, rng.random() < {"A": 0.5, "B": 0.02, "C": 0.3, "D": 0.0}[symbol]))
+    hour = 3_600_000
+    start = T0 - T0 % hour
+    asks += [("E", start + k * hour + off, 10_000 + k, k % 3 == 0) for k, off in enumerate([hour - 5, 100_000, 294_994, 1, hour - 1, 0])]
+    frame = spark.createDataFrame(asks, "symbol STRING, event_ts_ms BIGINT, quote_id BIGINT, found BOOLEAN")
+    got = quotes.history_fetches(frame, wait, longest)
+    assert sorted((r.symbol, r.lead_ts_ms, r.lead_id) for r in got.collect()) == _fetches(asks, wait, longest)
+
+
+def test_cached_values_are_carried_over_midnight(spark, bars_of):
+    """A wait that began before midnight holds after it, and the values of the last fetch are still used."""
+    day = 86_400_000
+    midnight = T0 - T0 % day + day
+    minutes = rollups.minute_bars(bars_of([("A", midnight - 60_000, 10, 3), ("A", midnight, 12, 4)]))
+    rows = [(1, "A", None, None, None, None, midnight - 10_000, "live", 0), (2, "A", None, None, None, None, midnight + 5_000, "live", 0)]
+    got = {r.quote_id: r for r in quotes.backfill(_quotes(spark, rows), minutes).collect()}
+    assert (got[1].px, got[1].source) == (10.0, quotes.HISTORY_SOURCE)
+    assert (got[2].px, got[2].source, got[2].event_ts_ms) == (10.0, "live", midnight + 5_000)
+
+
 def test_merge_replaces_and_inserts(bars_of):
     old = bars_of([("A", T0, 1, 1), ("A", T0 + 1000, 2, 1)])
     new = bars_of([("A", T0 + 1000, 9, 1), ("A", T0 + 2000, 3, 1)])

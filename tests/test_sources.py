@@ -1,16 +1,19 @@
 from __future__ import annotations
 
 import gzip
+import os
+from collections import Counter
 
 import pytest
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tickbars.operators import normalize
+from tickbars.operators import normalize, ordering
 from tickbars.schemas import BAR_1S, BIN
 from tickbars.sinks import messages
 from tickbars.sources import raw, streams, ticks
+from tickbars.streaming import stages
 
 CSV = """# a comment
 01/02/2025,14:30:00,10.5,10.4,10.6,100
@@ -118,3 +121,63 @@ def test_raw_landing(spark, tmp_path, bars_of):
         raw.field("$.nested.k[1]", "bigint").alias("k"),
     ).orderBy("symbol")
     assert [tuple(r) for r in got.collect()] == [("A", 1.5, None), ("B", None, 2)]
+
+
+def _uneven_files(folder):
+    """Forty small files and a large one that can't be split; gives all lines in arrival order."""
+    lines = []
+    for i in range(40):
+        own = [f"small {i} {k}" for k in range(5)]
+        (folder / f"a{i:02d}.txt").write_text("\n".join(own) + "\n")
+        lines += own
+    own = [f"large {k}" for k in range(20_000)]
+    (folder / "b.txt.gz").write_bytes(gzip.compress("\n".join(own).encode()))
+    return lines + own
+
+
+def test_uneven_files_give_dense_numbers_and_even_chunks(spark, tmp_path):
+    lines = _uneven_files(tmp_path)
+    rows = ticks.with_line_order(spark.read.text(str(tmp_path)))
+    assert [(r.arrival_seq, r.value) for r in rows.orderBy("arrival_seq").collect()] == list(enumerate(lines))
+    dense = rows.withColumn("chunk", ordering.dense_chunk("arrival_seq", 1_000))
+    for chunked in (dense, ordering.with_even_chunk(rows, "arrival_seq", 1_000, "chunk")):
+        sizes = [r["count"] for r in chunked.groupBy("chunk").count().collect()]
+        assert max(sizes) <= 2_000 and sum(sizes) == len(lines)
+
+
+def test_uneven_files_of_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = _uneven_files(tmp_path / "in")
+    for i, path in enumerate(sorted((tmp_path / "in").iterdir())):
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    seen = []
+
+    def handle(rows, batch):
+        kept = rows.persist()
+        placed = ticks.numbered(kept, "arrival_seq").persist()
+        sizes = [r["count"] for r in placed.groupBy(ordering.dense_chunk("arrival_seq", 1_000).alias("c")).count().collect()]
+        seen.append(([(r.arrival_seq, r.value) for r in placed.orderBy("arrival_seq").collect()], max(sizes)))
+        kept.unpersist()
+
+    stream = ticks.with_file_place(spark.readStream.text(str(tmp_path / "in")))
+    stages.start(stream, handle, str(tmp_path / "cp"), until_idle=True).awaitTermination()
+    [(got, largest)] = seen
+    assert got == list(enumerate(lines)) and largest <= 2_000
+
+
+def test_rows_without_files_are_numbered_without_gaps(spark):
+    rows = spark.range(1_000).repartition(7).persist()
+    got = ticks.numbered(rows, "arrival_seq")
+    assert sorted(r.arrival_seq for r in got.collect()) == list(range(1_000))
+
+
+@pytest.mark.parametrize("rows_per_chunk", [1, 7, 1_000, 10**6])
+def test_even_chunks_of_leaping_numbers(spark, rows_per_chunk):
+    """Crowded and empty stretches of an order column: no chunk is much too large, and none runs back."""
+    low = spark.range(200).select((F.col("id") * (1 << 40)).alias("at"))
+    crowd = spark.range(20_000).select((F.col("id") + (1 << 50)).alias("at"))
+    rows = low.unionByName(crowd).unionByName(spark.createDataFrame([(-(2**60),), (2**60,)], "at long"))
+    chunked = ordering.with_even_chunk(rows, "at", rows_per_chunk, "chunk").orderBy("at").collect()
+    chunks = [r.chunk for r in chunked]
+    assert chunks == sorted(chunks)
+    assert max(Counter(chunks).values()) <= max(2 * rows_per_chunk, 60)

@@ -70,7 +70,8 @@ def dim_calendar(
 def calendar_of(rows: DataFrame, ts: str, load_ts: Column | dt.datetime | None = None) -> DataFrame:
     """The calendar of all days that ``rows`` touch, from the first to the last, without gaps."""
     span = rows.agg(F.min(F.to_date(ts)).alias("first"), F.max(F.to_date(ts)).alias("last"))
-    days = span.select(F.explode(F.sequence("first", "last")).alias("day"))
+    # A row per day at first; the days are spread before they become minutes.
+    days = span.select(F.explode(F.sequence("first", "last")).alias("day")).repartition("day")
     minute = F.explode(F.sequence(F.lit(0), F.lit(1439)))
     minutes = days.select("day", minute.alias("m")).select(
         (F.col("day").cast("timestamp") + F.make_dt_interval(mins=F.col("m"))).alias("calendar_minute")

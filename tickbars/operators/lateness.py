@@ -28,9 +28,12 @@ def with_lateness(
     into the later ones. ``watermark`` names a column that holds the symbol's watermark from before this input, as
     in micro-batches.
     """
-    chunk = ordering.even_chunk(rows, order, rows_per_chunk) if chunk is None else chunk
+    if chunk is None:
+        chunked = ordering.with_even_chunk(rows, order, rows_per_chunk)
+    else:
+        chunked = rows.withColumn(ordering.CHUNK, chunk)
     rows = ordering.carry(
-        rows.withColumn(ordering.CHUNK, chunk),
+        chunked,
         ["symbol"],
         ordering.CHUNK,
         [F.max(time).alias("_top")],

@@ -6,8 +6,9 @@ over from a summary with one row per symbol and chunk. Two kinds of chunk are us
 
 * time chunks, for series that hold one row per symbol and grid step (bins, bars): the row count of a
   chunk is bounded by the grid itself;
-* even chunks, for raw ticks, where any stretch of time may be crowded: equal stretches of a unique order
-  column, as many as the rows need, with the bounds found by the same plan.
+* even chunks, for raw ticks, where any stretch of time may be crowded: equally deep stretches of a unique order
+  column, as many as the rows need. File sources number their rows without gaps, so a division gives the chunk; for
+  other columns the borders are found by the same plan.
 """
 
 from __future__ import annotations
@@ -22,19 +23,76 @@ ROWS_PER_CHUNK = 1_000_000
 CHUNK = "_chunk"
 
 
-def even_chunk(rows: DataFrame, order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Column:
-    """Chunk number of each row: ``order`` cut into equal stretches, one for every ``rows_per_chunk`` rows.
+#: Stretches of equal row counts that any order column is cut into first; a power of two.
+STRETCHES = 1_024
 
-    The bounds come from a scalar subquery of the same plan, which is one plan at every size. Line, offset and
-    sequence numbers are dense, so their stretches hold about as many rows each; a source whose order numbers leap
-    about passes a chunk of its own instead. Along ``order`` the number never falls.
+
+def dense_chunk(order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Column:
+    """Chunk number of rows that are numbered without gaps, as ``dense_numbers`` and the sources do: nothing is looked up."""
+    return F.floor(F.col(order) / F.lit(rows_per_chunk)).cast("long")
+
+
+def with_even_chunk(rows: DataFrame, order: str, rows_per_chunk: int = ROWS_PER_CHUNK, name: str = CHUNK) -> DataFrame:
+    """Add a chunk number for any integral order column, however it leaps: about ``rows_per_chunk`` rows to a chunk.
+
+    A scalar subquery of the same plan counts the rows and finds the borders of equally deep stretches (a mergeable
+    quantile sketch of fixed size); a row finds its stretch by bisection. Small tables join neighbouring stretches to a
+    chunk, large ones cut each stretch evenly. Borders only deal the work: whatever they are, the chunk number never falls
+    along ``order``. One plan at every size.
+    """
+    shares = [k / STRETCHES for k in range(1, STRETCHES)]
+    place = F.col(order).cast("long")
+    bounds = F.struct(
+        F.min(place).alias("low"),
+        F.max(place).alias("high"),
+        F.count(place).alias("n"),
+        F.percentile_approx(place, shares, 20 * STRETCHES).alias("borders"),
+    )
+    marked = rows.withColumn("_bounds", rows.agg(bounds.alias("bounds")).scalar())
+    found = F.col("_bounds")
+    borders = found.getField("borders")
+    steps = F.array(*[F.lit(STRETCHES >> k) for k in range(1, STRETCHES.bit_length())])
+    # Borders 1 .. STRETCHES-1 are ascending; each step halves what is left of them.
+    stretch = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(place >= F.element_at(borders, at + step), at + step).otherwise(at)
+    )
+    chunks = F.greatest(F.ceil(found.getField("n") / F.lit(rows_per_chunk)), F.lit(1))
+    whole = F.floor(stretch * chunks / F.lit(STRETCHES))
+    # Fewer rows than a stretch each: the sketch's borders are exact enough. More: cut between two borders.
+    parts = F.greatest(F.ceil(chunks / F.lit(STRETCHES)), F.lit(1))
+    start = F.when(stretch == 0, found.getField("low")).otherwise(F.element_at(borders, F.greatest(stretch, F.lit(1))))
+    end = F.when(stretch == STRETCHES - 1, found.getField("high") + 1).otherwise(
+        F.element_at(borders, F.least(stretch + 1, F.lit(STRETCHES - 1)))
+    )
+    inside = F.floor((place - start).cast("double") / F.greatest((end - start).cast("double"), F.lit(1.0)) * parts)
+    fine = stretch * parts + F.least(F.greatest(inside, F.lit(0)), parts - 1)
+    return marked.withColumn(name, F.when(parts > 1, fine).otherwise(whole).cast("long")).drop("_bounds")
+
+
+def dense_numbers(rows: DataFrame, groups: Sequence[Sequence[str]], line: str, name: str) -> DataFrame:
+    """Number rows 0, 1, 2, ... by place and, within a place, by ``line``, which has no gaps there.
+
+    A place is given by levels of columns, say file and block: its row count and first line are aggregated on the map side,
+    then the counts are summed up level by level, each level within the one above it. So the windows see a row per place,
+    never the rows, and only the top level (a row per file) is ordered as a whole.
     """
-    bounds = F.struct(F.min(order).alias("low"), F.max(order).alias("high"), F.count(F.lit(1)).alias("n"))
-    found = rows.agg(bounds.alias("bounds")).scalar()
-    low, high = (found.getField(k).cast("double") for k in ("low", "high"))
-    chunks = F.ceil(found.getField("n") / F.lit(rows_per_chunk))
-    width = F.greatest((high - low + F.lit(1.0)) / F.greatest(chunks, F.lit(1)), F.lit(1.0))
-    return F.floor((F.col(order).cast("double") - low) / width).cast("long")
+    columns = [c for level in groups for c in level]
+    counts = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"), F.min(line).alias("_first_line"))
+    offsets = F.lit(0)
+    above: list[str] = []
+    for depth, level in enumerate(groups):
+        if depth + 1 < len(groups):
+            sums = counts.groupBy(*above, *level).agg(F.sum("_n").alias("_n"))
+        else:
+            sums = counts
+        over = W.partitionBy(*(above or [F.lit(0)])).orderBy(*level).rowsBetween(W.unboundedPreceding, -1)
+        before = f"_before_{depth}"
+        summed = sums.select(*above, *level, F.coalesce(F.sum("_n").over(over), F.lit(0)).alias(before))
+        above = [*above, *level]
+        counts = counts.join(summed, above)
+        offsets = offsets + F.col(before)
+    placed = rows.join(counts.select(*columns, (offsets - F.col("_first_line")).alias("_shift")), columns)
+    return placed.withColumn(name, F.col("_shift") + F.col(line)).drop("_shift")
 
 
 def carry(

@@ -18,7 +18,8 @@ MISSING = "missing"
 EXTRA = "extra"
 MISMATCH = "mismatch"
 
-_BUCKET_MS = 65_536
+#: Bits of a digit of the quantile search; four digits make a number.
+DIGIT_BITS = 16
 
 
 def _paired(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -82,11 +83,27 @@ def summary(expected: DataFrame, actual: DataFrame, tolerance: float = TOLERANCE
     return counted.withColumn("passed", clean)
 
 
+def _digit_pass(counts: DataFrame, shift: int, found: Column) -> Column:
+    """Narrow ``found`` (``prefix`` of the value sought, and its ``rank`` among the values with that prefix) by one digit.
+
+    A digit has ``1 << DIGIT_BITS`` values, and as many counts are all that one task orders.
+    """
+    rows = counts
+    if shift + DIGIT_BITS < 64:
+        rows = counts.where(F.shiftright("latency", shift + DIGIT_BITS) == found.getField("prefix"))
+    digits = rows.groupBy(F.shiftright("latency", shift).alias("prefix")).agg(F.sum("n").alias("n"))
+    upto = W.partitionBy(F.lit(1)).orderBy("prefix").rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = digits.select("prefix", (found.getField("rank") - F.sum("n").over(upto) + F.col("n")).alias("rank"), "n")
+    inside = placed.where("rank >= 0 AND rank < n")
+    return inside.agg(F.first(F.struct("prefix", "rank"))).scalar()
+
+
 def latency_stats(bars: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """Count, nearest-rank quantile and maximum of the emission latency; zeros for an empty table.
 
-    The rank is ``min(n-1, floor(q*n))`` counted from 0. Values are counted, not sorted: first by coarse bucket,
-    then inside the one bucket that holds the rank, so only counts ever meet in one task.
+    The rank is ``min(n-1, floor(q*n))`` counted from 0. Values are selected digit by digit, highest digit first: equal
+    values are counted on the map side, and each pass sums the counts by one digit among the values that agree in the
+    digits found before. So however far the values spread, no task orders more than a fixed number of counts.
     """
     ingest = F.coalesce("ingest_ts_ms", "end_ts_ms")
     counts = (
@@ -94,30 +111,14 @@ def latency_stats(bars: DataFrame, quantile: float = QUANTILE) -> DataFrame:
         .groupBy("latency")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    coarse = counts.groupBy(F.expr(f"latency div {_BUCKET_MS}").alias("bucket")).agg(
-        F.sum("n").alias("n"), F.max("latency").alias("top")
-    )
-    everything = W.partitionBy(F.lit(1))
-    upto = everything.orderBy("bucket")
-    ranked = coarse.select(
-        "bucket",
-        F.sum("n").over(everything).alias("total"),
-        F.max("top").over(everything).alias("worst"),
-        F.sum("n").over(upto.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("through"),
-        (F.sum("n").over(upto.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")).alias("before"),
-    )
+    overall = counts.agg(F.sum("n").alias("total"), F.max("latency").alias("worst"))
     rank = F.least(F.col("total") - 1, F.floor(F.col("total") * F.lit(quantile)))
-    home = ranked.withColumn("rank", rank).where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("through")))
-    inner = W.partitionBy("bucket").orderBy("latency").rowsBetween(W.unboundedPreceding, W.currentRow)
-    fine = (
-        counts.withColumn("bucket", F.expr(f"latency div {_BUCKET_MS}"))
-        .join(home, "bucket")
-        .withColumn("seen", F.col("before") + F.sum("n").over(inner))
-        .where(F.col("seen") > F.col("rank"))
-    )
     zero = F.lit(0).cast("long")
-    return fine.agg(
-        F.coalesce(F.max("total"), zero).alias("bars"),
-        F.coalesce(F.min("latency"), zero).alias("p95_ms"),
-        F.coalesce(F.max("worst"), zero).alias("max_ms"),
+    found = overall.select(F.struct(zero.alias("prefix"), rank.cast("long").alias("rank"))).scalar()
+    for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
+        found = _digit_pass(counts, shift, found)
+    return overall.select(
+        F.coalesce("total", zero).alias("bars"),
+        F.coalesce(found.getField("prefix"), zero).alias("p95_ms"),
+        F.coalesce("worst", zero).alias("max_ms"),
     )

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickbars.functions import scalars as x
 from tickbars.operators import ordering
-from tickbars.settings import DAY_MS, MINUTE_MS
+from tickbars.settings import DAY_MS, HOUR_MS, MINUTE_MS
 
 # Source tags of live and of backfilled quotes, the least and longest pause between two history look-ups.
 LIVE_SOURCE = "yfinance.fast_info"
@@ -16,6 +20,9 @@ HISTORY_SOURCE = "yfinance.history"
 REFETCH_MS = 30_000
 MAX_REFETCH_MS = 300_000
 
+#: Where a chain of fetches ends.
+NOWHERE = -(2**62)
+
 
 def _some(name: str) -> Column:
     """The number unless it is zero or missing."""
@@ -76,28 +83,136 @@ def history_at(wanted: DataFrame, minutes: DataFrame) -> DataFrame:
     return handed.withColumn("_found", bar).where("_asked").select("symbol", "minute_ms", "_found.*")
 
 
+def wait_levels(wait_ms: int, max_wait_ms: int) -> list[int]:
+    """The waits after a fetch: the first one after success, the next ones after one, two, ... empty fetches in a row."""
+    levels = [wait_ms]
+    while min(2 * levels[-1], max_wait_ms) not in levels:
+        levels.append(min(2 * levels[-1], max_wait_ms))
+    return levels
+
+
+def walk(times: np.ndarray, found: np.ndarray, waits: np.ndarray, at: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Follow several chains of fetches at once through the asks of a stretch.
+
+    A chain enters at ask ``at`` with a level of waiting; gives when each may fetch next after the stretch, its level then,
+    and the asks at which chains fetched, step by step.
+    """
+    at, level = at.copy(), level.copy()
+    after = np.full(len(at), NOWHERE, np.int64)
+    steps = []
+    alive = np.flatnonzero(at < len(times))
+    while len(alive):
+        now = at[alive]
+        steps.append(now)
+        level[alive] = np.where(found[now], 0, np.minimum(level[alive] + 1, len(waits) - 1))
+        after[alive] = times[now] + waits[level[alive]]
+        at[alive] = np.searchsorted(times, after[alive])
+        alive = alive[at[alive] < len(times)]
+    return after, level, steps
+
+
+def _sorted_asks(asks: pa.Table) -> pa.Table:
+    return asks.sort_by("event_ts_ms")
+
+
+def _entries_to_exits(waits: np.ndarray):
+    """Where chains leave a stretch, for every ask and level at which one can enter it: by an ask within the longest wait from
+    its start, or by the first one after that."""
+
+    def run(key, asks: pa.Table) -> pa.Table:
+        asks = _sorted_asks(asks)
+        times, found = asks.column("event_ts_ms").to_numpy(), asks.column("found").to_numpy(zero_copy_only=False)
+        many = min(int(np.searchsorted(times, key[1].as_py() + waits.max())) + 1, len(times))
+        at = np.repeat(np.arange(many), len(waits))
+        level = np.tile(np.arange(len(waits)), many)
+        after, left_at, _ = walk(times, found, waits, at, level)
+        columns = [pa.array([key[0].as_py()] * len(at), pa.string()), pa.array(times[at]), pa.array(level), pa.array(after), pa.array(left_at)]
+        return pa.table(columns, names=["symbol", "event_ts_ms", "level", "after_ms", "next_level"])
+
+    return run
+
+
+def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries that a symbol's one chain passes. Links arrive by symbol, time and level, and lead forward in time, so only
+    the entry sought is remembered."""
+    symbol, sought = None, None
+    names = ["symbol", "event_ts_ms", "level"]
+    for batch in batches:
+        names_of = batch.column("symbol").to_pylist()
+        times, levels, to_time, to_level = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("event_ts_ms", "level", "to_ms", "to_level"))
+        taken = []
+        start = 0
+        while start < len(names_of):
+            end = int(np.searchsorted(np.array(names_of[start:], object) != names_of[start], True)) + start
+            if names_of[start] != symbol:
+                symbol, sought = names_of[start], (int(times[start]), 0)
+            while sought is not None:
+                first = start + int(np.searchsorted(times[start:end], sought[0]))
+                hit = first + int(np.searchsorted(levels[first:end], sought[1])) if first < end else end
+                if hit >= end or times[hit] != sought[0] or levels[hit] != sought[1]:
+                    break
+                taken.append(hit)
+                sought = (int(to_time[hit]), int(to_level[hit])) if to_time[hit] != NOWHERE else None
+            start = end
+        yield batch.select(names).take(pa.array(taken, pa.int64()))
+
+
+def _fetches_within(waits: np.ndarray):
+    """The successful fetches of a stretch, from the entry of its chain on; a stretch the chain leaps over has none."""
+
+    def run(key, asks: pa.Table) -> pa.Table:
+        asks = _sorted_asks(asks)
+        times, found = asks.column("event_ts_ms").to_numpy(), asks.column("found").to_numpy(zero_copy_only=False)
+        entry, level = asks.column("entry_ms")[0].as_py(), asks.column("level")[0].as_py()
+        at = np.zeros(0, np.int64)
+        if entry is not None:
+            _, _, steps = walk(times, found, waits, np.searchsorted(times, [entry]), np.array([level]))
+            at = np.concatenate(steps)
+        hits = asks.take(pa.array(at[found[at]]))
+        return hits.select(["symbol", "event_ts_ms", "quote_id"]).rename_columns(["symbol", "lead_ts_ms", "lead_id"])
+
+    return run
+
+
 def history_fetches(asks: DataFrame, wait_ms: int = REFETCH_MS, max_wait_ms: int = MAX_REFETCH_MS) -> DataFrame:
-    """Which of the quotes without a price fetch history with success: ``symbol, day_ms, lead_ts_ms, lead_id``.
+    """Which of the quotes without a price fetch history with success: ``symbol, lead_ts_ms, lead_id``.
 
     ``asks`` has ``symbol, quote_id, event_ts_ms`` and whether history is ``found`` at that time. A symbol's first ask
     fetches; after a fetch the next one waits ``wait_ms``, and after an empty one twice the wait before, up to
-    ``max_wait_ms``; in between nothing is fetched. Each UTC day starts afresh, so a symbol's day is what one fold goes
-    over, with a row per millisecond at most.
+    ``max_wait_ms``; in between nothing is fetched. The chain of fetches goes on over hours and days.
+
+    Hours are worked on side by side: each tells where chains that enter it leave it, for all asks at which one can enter,
+    which are those of its first minutes. Exits are linked with the entries after them, the one real chain is followed over
+    these links, and the hours give its fetches. An hour holds an ask per millisecond at most; links alone are ordered by
+    symbol, and read once.
     """
-    day = x.floor_ms("event_ts_ms", DAY_MS).alias("day_ms")
-    moments = asks.groupBy("symbol", day, "event_ts_ms").agg(F.min("quote_id").alias("quote_id"), F.max("found").alias("found"))
-    days = moments.groupBy("symbol", "day_ms").agg(
-        F.array_sort(F.collect_list(F.struct("event_ts_ms", "quote_id", "found"))).alias("asks")
+    levels = wait_levels(wait_ms, max_wait_ms)
+    waits = np.array(levels, np.int64)
+    moments = asks.groupBy("symbol", "event_ts_ms").agg(F.min("quote_id").alias("quote_id"), F.max("found").alias("found"))
+    hours = moments.withColumn("hour_ms", x.floor_ms("event_ts_ms", HOUR_MS))
+    entry = "symbol string, event_ts_ms long, level long, after_ms long, next_level long"
+    exits = hours.groupBy("symbol", "hour_ms").applyInArrow(_entries_to_exits(waits), entry)
+    # The entry an exit leads to is the first one at or after it, in its own hour or a later one.
+    targets = exits.where("level = 0").select("symbol", F.col("event_ts_ms").alias("at_ms"), F.col("event_ts_ms").alias("target"))
+    probes = exits.select("symbol", F.col("after_ms").alias("at_ms"), F.struct("event_ts_ms", "level", "next_level").alias("_from"))
+    pooled = targets.unionByName(probes, allowMissingColumns=True).withColumn(ordering.CHUNK, x.floor_ms("at_ms", HOUR_MS))
+    backwards = W.partitionBy("symbol").orderBy(F.desc(ordering.CHUNK))
+    pooled = ordering.carry(
+        pooled,
+        ["symbol"],
+        ordering.CHUNK,
+        [F.min("target").alias("_hour_first")],
+        lambda _: [F.min("_hour_first").over(backwards.rowsBetween(W.unboundedPreceding, -1)).alias("_later")],
     )
-    longer = f"least(s.wait * 2, {max_wait_ms}L)"
-    state = "STRUCT<next: BIGINT, wait: BIGINT, hits: ARRAY<STRUCT<ts: BIGINT, id: BIGINT>>>"
-    hit = "array_append(s.hits, named_struct('ts', a.event_ts_ms, 'id', a.quote_id))"
-    fold = f"""aggregate(asks, CAST(named_struct('next', {-(2**62)}L, 'wait', {wait_ms}L, 'hits', array()) AS {state}), (s, a) -> CASE
-        WHEN a.event_ts_ms < s.next THEN s
-        WHEN a.found THEN CAST(named_struct('next', a.event_ts_ms + {wait_ms}L, 'wait', {wait_ms}L, 'hits', {hit}) AS {state})
-        ELSE CAST(named_struct('next', a.event_ts_ms + {longer}, 'wait', {longer}, 'hits', s.hits) AS {state}) END, s -> s.hits)"""
-    hits = days.select("symbol", "day_ms", F.explode(F.expr(fold)).alias("hit"))
-    return hits.select("symbol", "day_ms", F.col("hit.ts").alias("lead_ts_ms"), F.col("hit.id").alias("lead_id"))
+    onward = W.partitionBy("symbol", ordering.CHUNK).orderBy(F.desc("at_ms")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    linked = pooled.withColumn("to_ms", F.coalesce(F.min("target").over(onward), "_later", F.lit(NOWHERE).cast("long")))
+    links = linked.where("_from IS NOT NULL").select("symbol", "_from.event_ts_ms", "_from.level", "to_ms", F.col("_from.next_level").alias("to_level"))
+    ordered = links.repartition("symbol").sortWithinPartitions("symbol", "event_ts_ms", "level")
+    entered = ordered.mapInArrow(_follow, "symbol string, event_ts_ms long, level long")
+    entered = entered.select("symbol", x.floor_ms("event_ts_ms", HOUR_MS).alias("hour_ms"), F.col("event_ts_ms").alias("entry_ms"), "level")
+    kind = asks.schema["quote_id"].dataType.simpleString()
+    known = hours.join(entered, ["symbol", "hour_ms"], "left")
+    return known.groupBy("symbol", "hour_ms").applyInArrow(_fetches_within(waits), f"symbol string, lead_ts_ms long, lead_id {kind}")
 
 
 def backfill(quotes: DataFrame, minutes: DataFrame, refetch_ms: int = REFETCH_MS, max_refetch_ms: int = MAX_REFETCH_MS) -> DataFrame:
@@ -121,21 +236,23 @@ def backfill(quotes: DataFrame, minutes: DataFrame, refetch_ms: int = REFETCH_MS
     values = ["quote_id", "event_ts_ms", "bid", "ask", "sz", "bar_ts_ms", "bar_close", "bar_volume"]
     lead = F.struct(*values).alias("_lead")
     leaders = looked.select("symbol", "quote_id", lead).join(
-        fetched.select("symbol", "day_ms", F.col("lead_id").alias("quote_id")), ["symbol", "quote_id"]
+        fetched.select("symbol", F.col("lead_id").alias("quote_id")), ["symbol", "quote_id"]
     )
-    # Fetches lie a wait apart, so a slot of that width holds one at most; earlier ones are carried over the slots.
+    # Fetches lie a wait apart, so a slot of that width holds one at most; earlier ones are carried over slots and days.
     slot = x.floor_ms("event_ts_ms", refetch_ms)
-    own = leaders.select("symbol", "day_ms", x.floor_ms("_lead.event_ts_ms", refetch_ms).alias("_slot"), "_lead")
-    grid = lacking.select("symbol", x.floor_ms("event_ts_ms", DAY_MS).alias("day_ms"), slot.alias("_slot")).distinct()
-    before = W.partitionBy("symbol", "day_ms").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    carried = grid.join(own, ["symbol", "day_ms", "_slot"], "left").withColumn(
-        "_earlier", F.last("_lead", ignorenulls=True).over(before)
-    )
-    joined = (
-        slotted.withColumn("day_ms", x.floor_ms("event_ts_ms", DAY_MS))
-        .withColumn("_slot", slot)
-        .join(carried, ["symbol", "day_ms", "_slot"], "left")
+    own = leaders.select("symbol", x.floor_ms("_lead.event_ts_ms", refetch_ms).alias("_slot"), "_lead")
+    grid = lacking.select("symbol", slot.alias("_slot")).distinct().join(own, ["symbol", "_slot"], "left")
+    handed = ordering.carry(
+        grid.withColumn(ordering.CHUNK, x.floor_ms("_slot", DAY_MS)),
+        ["symbol"],
+        ordering.CHUNK,
+        [F.max_by("_lead", F.when(F.col("_lead").isNotNull(), F.col("_slot"))).alias("_day_last")],
+        lambda over: [F.last("_day_last", ignorenulls=True).over(over.rowsBetween(W.unboundedPreceding, -1)).alias("_day_before")],
     )
+    before = W.partitionBy("symbol", ordering.CHUNK).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    earlier = F.coalesce(F.last("_lead", ignorenulls=True).over(before), F.col("_day_before"))
+    carried = handed.select("symbol", "_slot", "_lead", earlier.alias("_earlier"))
+    joined = slotted.withColumn("_slot", slot).join(carried, ["symbol", "_slot"], "left")
     use = F.when(F.col("_lead.event_ts_ms") <= F.col("event_ts_ms"), F.col("_lead")).otherwise(F.col("_earlier"))
     joined = joined.withColumn("_use", F.when(needy, use)).select(
         "*", *[F.col(f"_use.{c}").alias(c) for c in ("bar_ts_ms", "bar_close", "bar_volume")]

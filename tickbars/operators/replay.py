@@ -40,7 +40,7 @@ def schedule(
     if speed <= 0:
         raise ValueError("speed must be positive")
     keys = ["symbol"]
-    rows = ticks.withColumn(ordering.CHUNK, ordering.even_chunk(ticks, order, rows_per_chunk))
+    rows = ordering.with_even_chunk(ticks, order, rows_per_chunk)
     over = W.partitionBy(*keys, ordering.CHUNK).orderBy(order)
     rows = ordering.carry(
         rows,

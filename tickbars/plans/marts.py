@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickbars.functions import scalars as x
 from tickbars.operators import dims, ordering
+from tickbars.sinks import versioned
 
 # Rows of the rolling window, and the look-back of the movers report.
 ROLLING_ROWS = 60
@@ -72,6 +74,12 @@ def top_movers(facts_300s: DataFrame, as_of: dt.datetime | Column | None = None,
     return ranked if limit is None else ranked.limit(limit)
 
 
+def stored_top_movers(spark: SparkSession, path: str, schema: T.StructType, as_of: dt.datetime, limit: int | None = None) -> DataFrame:
+    """``top_movers`` over the versioned five-minute facts at ``path``, opening only files with bars that end late enough."""
+    since = as_of - dt.timedelta(minutes=MOVERS_MINUTES)
+    return top_movers(versioned.recent(spark, path, schema, since), as_of, limit)
+
+
 def _with_ordinal(facts_60s: DataFrame) -> DataFrame:
     return ordering.with_ordinal(facts_60s, ["symbol"], F.to_date("start_ts"), "start_ts", "_ordinal")
 

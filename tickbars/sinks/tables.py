@@ -1,13 +1,10 @@
-"""Parquet tables: partitioned facts with upsert, refreshed dimensions, appended quotes."""
+"""Parquet tables: refreshed dimensions, appended quotes, and notes on finished folders. Facts are in ``versioned``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
-from tickbars.operators.facts import with_trade_hour
-from tickbars.operators.merge import merge_by_key
-
 PARTITIONS = ["trade_date", "trade_hour"]
 
 
@@ -28,38 +25,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def upsert(
-    spark: SparkSession,
-    facts: DataFrame,
-    path: str,
-    staging: str,
-    key: str = "bar_id",
-    order: str | None = None,
-    batch: int = 0,
-) -> None:
-    """Insert facts into the table at ``path``, replacing rows of the same key.
-
-    The table is partitioned by hour, and only the hours that the batch touches are read and rewritten: a semi-join
-    on the partition columns, which prunes the scan, so nothing passes through the driver.
-
-    The merged hours go to ``staging`` first, then a note with the batch number, then they are published. A batch that
-    is run again after its note was written publishes the finished staging folder once more and merges nothing: the
-    table may be half published then, and must not be read. ``staging`` belongs to one batch at a time.
-    """
-    incoming = with_trade_hour(facts)
-    stored = incoming.drop(order or "")
-    if not finished(spark, staging, batch):
-        current = stored.limit(0)
-        if exists(spark, path):
-            touched = incoming.select(*PARTITIONS).distinct()
-            current = spark.read.schema(stored.schema).parquet(path).join(touched, PARTITIONS, "left_semi")
-            current = current.select(*stored.columns)
-        merged = merge_by_key(current, incoming, key, order)
-        merged.repartition(*PARTITIONS, "symbol").write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{staging}/rows")
-        finish(spark, staging, batch)
-    publish(spark, stored, staging, path)
-
-
 def finish(spark: SparkSession, folder: str, batch: int) -> None:
     """Note that the folder holds the whole of this batch."""
     spark.range(batch, batch + 1).write.mode("overwrite").parquet(f"{folder}/note")
@@ -70,15 +35,3 @@ def finished(spark: SparkSession, folder: str, batch: int) -> bool:
     if not exists(spark, f"{folder}/note"):
         return False
     return not spark.read.parquet(f"{folder}/note").where(f"id = {batch}").isEmpty()
-
-
-def publish(spark: SparkSession, like: DataFrame, staging: str, path: str) -> None:
-    """Replace the staged hours in the table; doing it again changes nothing."""
-    staged = spark.read.schema(like.schema).parquet(f"{staging}/rows")
-    (
-        staged.select(*like.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbars.functions import scalars as x
+from tickbars.operators import ordering
 from tickbars.schemas import TICK_CSV, TICK_JSON
 from tickbars.settings import DEFAULT_SYMBOL
 
@@ -16,28 +16,22 @@ CSV_FIELDS = 6
 CSV_TIME = "M/d/yyyy H:m:s"
 CSV_SOURCE = "mock_api"
 
-_LINE_BITS = 33
 FILE_PLACE = "_file_place"
 
 
 def with_line_order(scan: DataFrame) -> DataFrame:
-    """Add ``arrival_seq``: unique, ascending by file path, then by line.
+    """Add ``arrival_seq``: 0, 1, 2, ... by file path, then by line.
 
-    Lines are numbered inside their file block by the scan itself; blocks are ranked by path and offset, one row
-    per block, and joined back. Call it directly on a file scan.
+    The scan itself numbers the lines of a task, where each file block lies in one piece; row counts of blocks and files are
+    summed up and joined back (``ordering.dense_numbers``). Call it directly on a file scan.
     """
-    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LINE_BITS) - 1))
     marked = scan.select(
         "*",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_at"),
-        inside.alias("_line"),
+        F.monotonically_increasing_id().alias("_line"),
     )
-    blocks = marked.select("_path", "_at").distinct()
-    ranked = blocks.withColumn("_rank", F.row_number().over(W.orderBy("_path", "_at")).cast("long") - 1)
-    placed = marked.join(ranked, ["_path", "_at"])
-    order = F.shiftleft("_rank", _LINE_BITS) + F.col("_line")
-    return placed.withColumn("arrival_seq", order).drop("_path", "_at", "_line", "_rank")
+    return ordering.dense_numbers(marked, [["_path"], ["_at"]], "_line", "arrival_seq").drop("_path", "_at", "_line")
 
 
 def with_file_place(scan: DataFrame) -> DataFrame:
@@ -55,19 +49,18 @@ def with_file_place(scan: DataFrame) -> DataFrame:
 def numbered(rows: DataFrame, order: str) -> DataFrame:
     """Rows of a micro-batch with an arrival order: their own column, their place in the files, or as read.
 
-    Spark packs the largest files of a micro-batch first, so the reading order is not the arrival order. File blocks are
-    ranked by modification time, path and offset, one row per block, and joined back; inside a block the rows of a
-    micro-batch still come in line order.
+    Spark packs the largest files of a micro-batch first, so the reading order is not the arrival order. Rows are numbered
+    without gaps by the modification time, path and offset of their file block, inside a block in line order; without
+    files, in the order of the partitions they were read in. Keep the rows persisted while the numbers are used.
     """
     if order in rows.columns:
         return rows
+    marked = rows.withColumn("_line", F.monotonically_increasing_id())
     if FILE_PLACE not in rows.columns:
-        return rows.withColumn(order, F.monotonically_increasing_id())
-    blocks = rows.select(FILE_PLACE).distinct()
-    ranked = blocks.withColumn("_rank", F.row_number().over(W.orderBy(FILE_PLACE)).cast("long") - 1)
-    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LINE_BITS) - 1))
-    placed = rows.withColumn("_line", inside).join(ranked, FILE_PLACE)
-    return placed.withColumn(order, F.shiftleft("_rank", _LINE_BITS) + F.col("_line")).drop(FILE_PLACE, "_line", "_rank")
+        return ordering.dense_numbers(marked.withColumn("_at", F.spark_partition_id()), [["_at"]], "_line", order).drop("_at", "_line")
+    parts = {"_time": "time", "_path": "path", "_at": "at"}
+    placed = marked.select("*", *(F.col(f"{FILE_PLACE}.{part}").alias(name) for name, part in parts.items()))
+    return ordering.dense_numbers(placed, [["_time", "_path"], ["_at"]], "_line", order).drop(FILE_PLACE, "_line", *parts)
 
 
 def _csv_scan(spark: SparkSession, path: str) -> DataFrame:
