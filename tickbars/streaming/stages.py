@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickbars.functions import scalars as x
-from tickbars.operators import bars, bins, facts, gapfill, lateness, ordering, rollups
+from tickbars.operators import bars, bins, facts, gapfill, json_contracts, lateness, ordering, rollups
 from tickbars.session import shared_folder
 from tickbars.settings import IDLE_SETTLE_MS, MINUTE_MS, SECOND_MS, SETTLE_GRACE_MS, Settings
-from tickbars.sinks import messages, tables
+from tickbars.sinks import messages, tables, versioned
 from tickbars.sources.ticks import numbered
 from tickbars.streaming.classify import BatchTable, classify_batch, slot, watermark_table
 
@@ -73,7 +73,9 @@ class Stages:
     Without a ``root`` everything goes below the folder the cluster names in ``spark.checkpoint.dir``; put it on shared
     storage. Outputs have one folder per micro-batch, and the tables ``fact_1s``, ``fact_60s`` and ``fact_300s`` are
     upserted. ``send`` gets the keyed messages of every batch (topic name, messages, batch number), say for Kafka;
-    without it they go to ``messages/<topic>``. State is kept for the last few batches only.
+    without it they go to ``messages/<topic>``. State is kept for the last few batches only. With a ``contract`` (a JSON
+    Schema) arriving bins or bars that break it are stored as ``rejected_bins`` or ``rejected_bars``, with the rules they
+    break, and go no further.
     """
 
     def __init__(
@@ -86,6 +88,7 @@ class Stages:
         now_ms: Callable[[], int] | None = None,
         rows_per_chunk: int = ordering.ROWS_PER_CHUNK,
         send: Callable[[str, DataFrame, int], None] | None = None,
+        contract: dict | None = None,
     ) -> None:
         self.spark = spark
         root = shared_folder(spark, self.NAME) if root is None else root
@@ -96,6 +99,7 @@ class Stages:
         self.now_ms = now_ms
         self.rows_per_chunk = rows_per_chunk
         self.send = send
+        self.contract = contract
         self.marks = watermark_table(spark, f"{root}/state/watermarks")
         clock = spark.createDataFrame([], "batch BIGINT, settled_at BIGINT, before BIGINT")
         self.clock = BatchTable(spark, f"{root}/state/clock", clock)
@@ -124,8 +128,7 @@ class Stages:
         self.run(like.limit(0), batch, drain=True)
 
     def _upsert(self, name: str, rows: DataFrame, batch: int) -> None:
-        staging = slot(f"{self.root}/state/staging/{name}", batch)
-        tables.upsert(self.spark, rows, f"{self.root}/{name}", staging, batch=batch)
+        versioned.upsert(self.spark, rows, f"{self.root}/{name}", batch=batch)
 
     def _store(self, name: str, batch: int, rows: DataFrame) -> DataFrame:
         """Write an output folder and read it back: later steps start from stored rows."""
@@ -147,6 +150,14 @@ class Stages:
         else:
             sent.write.mode("overwrite").json(f"{self.root}/messages/{topic}/batch={batch}")
 
+    def _checked(self, name: str, rows: DataFrame, batch: int) -> DataFrame:
+        """Rows that keep the contract; the others are stored."""
+        if self.contract is None:
+            return rows
+        good, broken = json_contracts.quarantine(rows, json_contracts.row_rules(self.contract, rows))
+        self._store(name, batch, broken)
+        return good
+
     def _judged(self, rows: DataFrame, time: str, batch: int) -> tuple[DataFrame, DataFrame]:
         """Rows with their lateness, and the symbols' watermarks after this batch."""
         classified, after = classify_batch(rows, self.marks.before(batch), "arrival_seq", time, self.rows_per_chunk)
@@ -154,12 +165,7 @@ class Stages:
 
     def _facts(self, name: str, like: DataFrame, touched: DataFrame) -> DataFrame:
         """Stored facts of the hours that ``touched`` (with ``start_ts``) lies in."""
-        kind = tables.with_trade_hour(like)
-        path = f"{self.root}/{name}"
-        if not tables.exists(self.spark, path):
-            return kind.limit(0)
-        hours = tables.with_trade_hour(touched).select(*tables.PARTITIONS).distinct()
-        return self.spark.read.schema(kind.schema).parquet(path).join(hours, tables.PARTITIONS, "left_semi")
+        return versioned.in_hours(self.spark, f"{self.root}/{name}", facts.with_trade_hour(like).schema, touched)
 
     def _bars_to_minutes(self, new_bars: DataFrame, batch: int, drain: bool) -> DataFrame:
         """Minute bars that are due, with whether they are ``final``.
@@ -337,7 +343,7 @@ class BinPipeline(Stages):
 
     def to_bars(self, rows: DataFrame, batch: int, drain: bool) -> DataFrame:
         late_ms = self.settings.max_late_ms
-        filled = bins.with_defaults(rows, self.settings.bin_ms)
+        filled = bins.with_defaults(self._checked("rejected_bins", rows, batch), self.settings.bin_ms)
         filled = filled.withColumn("bin_id", F.coalesce("bin_id", x.series_id("symbol", "start_ts_ms")))
         kept = numbered(filled, "arrival_seq").persist()
         try:
@@ -364,7 +370,7 @@ class BarPipeline(Stages):
     NAME = "bar-pipeline"
 
     def to_bars(self, rows: DataFrame, batch: int, drain: bool) -> DataFrame:
-        filled = rollups.with_defaults(rows, self.ingest)
+        filled = rollups.with_defaults(self._checked("rejected_bars", rows, batch), self.ingest)
         filled = (
             filled.withColumn("bar_id", F.coalesce("bar_id", x.series_id("symbol", "start_ts_ms")))
             .withColumn("end_ts_ms", F.coalesce("end_ts_ms", F.col("start_ts_ms") + SECOND_MS))
