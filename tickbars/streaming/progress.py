@@ -43,20 +43,16 @@ def _numbers(offset) -> dict[tuple, int]:
 
 
 def behind(sources: Iterable) -> int | None:
-    """How many records, files or offsets the sources hold beyond what was read; null where no source tells.
+    """How many offsets the sources hold beyond what was read; null where no source tells.
 
-    Kafka and rate sources give the latest offset beside the one read; a file source gives what is outstanding as a metric.
+    Kafka gives its latest offsets beside those read. A file source tells nothing; its lag shows in input and batch times.
     """
     total = None
     for source in sources:
-        metrics = dict(source.metrics or {})
-        left = metrics.get("numFilesOutstanding")
-        if left is None:
-            latest, end = _numbers(source.latestOffset), _numbers(source.endOffset)
-            shared = latest.keys() & end.keys()
-            left = sum(max(latest[k] - end[k], 0) for k in shared) if shared else None
-        if left is not None:
-            total = (total or 0) + int(left)
+        latest, end = _numbers(source.latestOffset), _numbers(source.endOffset)
+        shared = latest.keys() & end.keys()
+        if shared:
+            total = (total or 0) + sum(max(latest[k] - end[k], 0) for k in shared)
     return total
 
 
