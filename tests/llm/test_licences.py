@@ -5,6 +5,9 @@ from __future__ import annotations
 import itertools
 import re
 
+import duckdb
+
+from tests.compare import compare
 from tickbars.llm import licences, queries_licences
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -80,3 +83,21 @@ def test_repeated_rows_and_empty_table(spark, docs_of):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = queries_licences.op3_license_scan(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_sql_agrees_on_files_with_several_licences(spark, docs_of, table_dir):
+    """All single templates, pairs and triples, and one file that holds every template many times."""
+    texts = ["\n".join(f"{FILLER}\n{text}" for _, text, _ in c) for n in (1, 2, 3) for c in itertools.combinations(licences.TEMPLATES, n)]
+    assert len(texts) == 231
+    texts.append("\n".join(text for _, text, _ in licences.TEMPLATES) * 20)
+    folder = table_dir(documents=docs_of([*texts, *TEXTS]))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    assert compare(spark, con, folder, queries_licences.op3_license_scan, queries_licences.OP3_SQL) == []
+
+
+def test_many_licences_in_one_file(spark, docs_of):
+    """Work grows with the words: every place of 800 repeats of all templates is found."""
+    whole = "\n".join(f"{FILLER}\n{text}" for _, text, _ in licences.TEMPLATES)
+    got = scanned(docs_of([(1, whole), (2, "\n".join([whole] * 800))]))
+    assert len(got[2].found) == 800 * len(got[1].found) and got[2].labels == got[1].labels

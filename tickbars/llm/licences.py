@@ -35,13 +35,9 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Scan:
-    """Places indexed per template, and tenths of a template's places that must agree.
-
-    Only the SQL counterpart limits the words ``looked_up`` per file; the scan looks up all.
-    """
+    """Places indexed per template, and tenths of a template's places that must agree."""
 
     places: int = 6
-    looked_up: int = 12
     agree: int = 6
 
 
@@ -93,7 +89,8 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Two passes read the texts: one counts how many documents hold each template word, one scans. Only the counts are
     shuffled, and the index, of fixed size, reaches the scan as a scalar subquery.
 
-    Null and empty texts have no words; repeated rows give repeated results; null ids stay; ties in rarity go by place in
+    Work grows with the number of words, however long a text and however many licences it holds. Null and empty texts have
+    no words; repeated rows give repeated results; null ids stay; ties in rarity go by place in
     the template; other columns are ignored; an empty table gives no rows.
     """
     picked = docs.select(named(id_col).alias("__id"), named(text_col).cast("string").alias("__text"))
@@ -112,9 +109,13 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             e -> struct(e.template AS template, x.place - e.at AS shift, e.at AS at, e.need AS need, e.size AS size)))))
         ELSE array() END"""
     rows = rows.withColumn("votes", F.expr(votes))
-    agreeing = """filter(transform(votes, (v, i) -> CASE WHEN get(votes, i + v.need - 1).template = v.template
-        AND get(votes, i + v.need - 1).shift = v.shift THEN struct(v.template, v.shift, v.size) END), x -> x IS NOT NULL)"""
-    rows = rows.withColumn("places", F.array_distinct(F.expr(agreeing)))
+    # Votes are sorted, so those of one template and shift are a run, as long as the next run starts later.
+    starts = """filter(transform(votes, (v, i) -> CASE WHEN i = 0 OR get(votes, i - 1).template <> v.template
+        OR get(votes, i - 1).shift <> v.shift THEN i END), i -> i IS NOT NULL)"""
+    counted = """filter(transform(borders, (b, j) -> struct(get(votes, b).template AS template, get(votes, b).shift AS shift,
+        get(votes, b).need AS need, get(votes, b).size AS size, coalesce(get(borders, j + 1), size(votes)) - b AS agreeing)),
+        x -> x.agreeing >= x.need)"""
+    rows = rows.withColumn("borders", F.expr(starts)).withColumn("places", F.expr(counted))
     tests = []
     for k, (_, text, phrases) in enumerate(TEMPLATES):
         own = text.split()
@@ -129,7 +130,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.withColumn("verified", F.expr(verified))
     names = "array(" + ", ".join(f"'{name}'" for name, _, _ in TEMPLATES) + ")"
     found = f"""transform(verified, x -> struct(get({names}, x.template) AS template, CAST(x.shift AS BIGINT) AS start,
-        size(filter(votes, v -> v.template = x.template AND v.shift = x.shift)) AS agreeing, x.size AS size))"""
+        x.agreeing AS agreeing, x.size AS size))"""
     base = F.array_compact(F.array(*(F.when(F.size(f"base_{b}") > 0, b) for _, b in BASE)))
     rows = rows.withColumn("found", F.expr(found)).withColumn("base", base)
     starts = F.concat(*(F.col(f"base_{b}") for _, b in BASE))

@@ -39,14 +39,11 @@ ranked AS (
     SELECT template, name, pos, word, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY template ORDER BY coalesce(n, 0), pos) AS k
     FROM templates LEFT JOIN counts USING (word)
 ), entries AS (SELECT *, count(*) OVER (PARTITION BY template) AS size FROM ranked WHERE k <= {scan.places}),
-held AS (SELECT DISTINCT row, word, n FROM w JOIN entries USING (word)),
-rare AS (
-    SELECT row, word FROM (
-        SELECT row, word, row_number() OVER (PARTITION BY row ORDER BY n, word) AS k, count(*) OVER (PARTITION BY row) AS many FROM held
-    ) WHERE k <= {scan.looked_up} AND many > 1
-), agreed AS (
+held AS (SELECT DISTINCT row, word FROM w JOIN entries USING (word)),
+voting AS (SELECT row, word FROM (SELECT *, count(*) OVER (PARTITION BY row) AS many FROM held) WHERE many > 1),
+agreed AS (
     SELECT row, template, name, place - pos AS shift, count(*) AS agreeing, any_value(size) AS size
-    FROM w JOIN rare USING (row, word) JOIN entries USING (word) GROUP BY ALL
+    FROM w JOIN voting USING (row, word) JOIN entries USING (word) GROUP BY ALL
     HAVING count(*) >= ceil({scan.agree} * any_value(size) / 10)
 ), verified AS (
     SELECT a.row, a.name, agreeing / size AS share FROM agreed a JOIN d USING (row)
