@@ -320,7 +320,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             ELSE transform(parts, p -> struct(anchor - p.high AS start, anchor - p.low + {plan.length} AS end)) END"""
         ).alias("spans"),
     )
-    spans = spans.groupBy("id", "print").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    spans = spans.groupBy("id", "print").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     joined = picked.join(spans, same_row, "left").select("__id", "__text", "spans")
     names = [id_col, "n_bytes", "removed", "kept"]
     schema = f"{quoted(id_col)} {kind}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"

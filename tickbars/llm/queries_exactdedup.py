@@ -16,4 +16,6 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # What is left as text; a character that was cut through shows as a replacement character.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
