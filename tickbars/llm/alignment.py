@@ -1,8 +1,8 @@
 """Alignment of two tokenizers over the bytes of each text.
 
-Both tokenizers cut the same bytes, so their tokens have cumulative byte ends. Dictionaries from end to token index are
-intersected; the sorted common ends slice both id lists into groups, and within a slice tokens are linked where their byte
-ranges overlap.
+Both tokenizers cut the same bytes, so their tokens have cumulative byte ends. These are intersected by a dictionary from
+end to token index; the sorted common ends slice both id lists into groups, and within a slice tokens are linked where their
+byte ranges overlap.
 
 How many documents hold a pair of ids linked is a figure of the whole corpus. Tasks work on blocks of some megabytes of
 text: a block has one row with its distinct pairs and their document counts, and a document only the places of its own
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -64,12 +65,12 @@ class ByteLevel:
             ranks = {b: i for i, b in self.bytes.items()}
             self.fast = tiktoken.Encoding("ranks", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         slow = [i for i, t in enumerate(texts) if self.fast is None or len(t) > LONG or OUTSIDE.search(t)]
         own = set(slow)
-        out = [[] if i in own else self.fast.encode_ordinary(t) for i, t in enumerate(texts)]
+        out = [None if i in own else self.fast.encode_to_numpy(t, disallowed_special=()).astype(np.int64) for i, t in enumerate(texts)]
         for i, found in zip(slow, self.library.encode_batch([texts[i] for i in slow], add_special_tokens=False), strict=True):
-            out[i] = found.ids
+            out[i] = np.array(found.ids, np.int64)
         return out
 
 
@@ -83,8 +84,8 @@ class Pieces:
             piece = self.model.id_to_piece(i)
             self.bytes[i] = bytes([int(piece[3:-1], 16)]) if self.model.is_byte(i) else piece.replace(MARK, " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
 
 
 class Table:
@@ -102,19 +103,22 @@ class Table:
 
 
 def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of the tokens of either list that end at a byte where a token of the other list ends, too."""
+    """Indexes of the tokens of either list that end at a byte where a token of the other list ends, too.
+
+    B's ends are the keys of a dictionary to their indexes; A's ends, which ascend as their indexes do, are looked up in it.
+    """
     last_a, last_b = [], []
     total = int(ends_a[-1]) if len(ends_a) else 0
     borders = [*range(0, total, WINDOW), total]
     cuts_a, cuts_b = (np.searchsorted(e, borders, side="right").tolist() for e in (ends_a, ends_b))
-    for k in range(len(borders) - 1):
-        a0, a1, b0, b1 = cuts_a[k], cuts_a[k + 1], cuts_b[k], cuts_b[k + 1]
-        at_a = dict(zip(ends_a[a0:a1].tolist(), range(a0, a1), strict=True))
-        at_b = dict(zip(ends_b[b0:b1].tolist(), range(b0, b1), strict=True))
-        common = sorted(at_a.keys() & at_b.keys())
-        last_a += map(at_a.__getitem__, common)
-        last_b += map(at_b.__getitem__, common)
-    return np.array(last_a, np.int64), np.array(last_b, np.int64)
+    for a0, a1, b0, b1 in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:]):
+        index_of = dict(zip(ends_b[b0:b1].tolist(), range(b0, b1), strict=True))
+        found = np.fromiter(map(index_of.get, ends_a[a0:a1].tolist(), repeat(-1)), np.int64, a1 - a0)
+        shared = np.flatnonzero(found >= 0)
+        last_a.append(shared + a0)
+        last_b.append(found[shared])
+    whole_a, whole_b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (last_a, last_b))
+    return whole_a, whole_b
 
 
 def linked(ends_a: np.ndarray, ends_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +175,7 @@ class Aligner:
     def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Both id lists of each text; none for empty texts and texts that a tokenizer doesn't keep byte by byte."""
         spaced = [" " + t for t in texts]
-        ids = [[np.array(x, np.int64) for x in coder.encode(given)] for coder, given in zip(self.coders, (spaced, texts), strict=True)]
+        ids = [coder.encode(given) for coder, given in zip(self.coders, (spaced, texts), strict=True)]
         same = [bool(t) for t in texts]
         for table, lists in zip(self.tables, ids, strict=True):
             data = table.spelt(np.concatenate(lists))
