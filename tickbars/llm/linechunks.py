@@ -118,8 +118,8 @@ BESIDE = [f"{side}{k}" for side in ("up", "down") for k in range(1, REACH + 1)]
 
 
 def _chunk_bytes():
-    """The bytes of the chunks asked for in ``places`` (number, lines, hash, first), where the text still has them, and of
-    the lines beside them with what lies in between."""
+    """The bytes of the chunks asked for in ``places`` (number, lines, hash, first), where the text still has them, and
+    128-bit digests of the lines beside them with what lies in between."""
     names = ["id", "print", "number", "lines", "hash", "first", "bytes", *BESIDE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,8 +135,8 @@ def _chunk_bytes():
                     a, b = p["number"], p["number"] + p["lines"] - 1
                     part = raw[start[a] : end[b]] if b < len(end) else b""
                     if _wide_hash(part) == p["hash"]:
-                        up = [raw[start[a - k] : start[a - k + 1]] if a >= k else None for k in range(1, REACH + 1)]
-                        down = [raw[end[b + k - 1] : end[b + k]] if b + k < len(end) else None for k in range(1, REACH + 1)]
+                        up = [_wide_hash(raw[start[a - k] : start[a - k + 1]]) if a >= k else None for k in range(1, REACH + 1)]
+                        down = [_wide_hash(raw[end[b + k - 1] : end[b + k]]) if b + k < len(end) else None for k in range(1, REACH + 1)]
                         rows.append((p["number"], p["lines"], p["hash"], p["first"], part, *up, *down))
                         owners.append(i)
             kinds = [pa.int32(), pa.int32(), pa.binary(), pa.bool_(), *[pa.binary()] * (1 + len(BESIDE))]
