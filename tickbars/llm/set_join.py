@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tickbars.llm.components import components
 from tickbars.llm.neardup import fingerprints, shingle_sets
 from tickbars.llm.shared import blocks, column_of, named, stored, texts_of
-from tickbars.llm.spans import U64, buffers
+from tickbars.llm.spans import U64, buffers, mix
 
 BLOCK = 1_000_000
 
@@ -39,7 +39,7 @@ class Plan:
     percent: int = 90
     shingle: int = 3
     #: Lists up to this length compare their blocks directly, longer ones by leaders.
-    short: int = 32
+    short: int = 16
     #: Open members outside a list's largest component that are compared with all open members at once.
     few: int = 128
     #: Counters of shingle frequencies.
@@ -54,6 +54,27 @@ class Plan:
         return F.expr(f"least({n1} - {p1}, {n2} - {p2}) >= ceil({self.percent} * ({n1} + {n2}) / {100 + self.percent})")
 
 
+def parities(shingles: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """A bitmap of each set where every shingle flips one bit; it has four bits a shingle or more, a power of two in all.
+
+    Two bitmaps differ in as many bits as their sets differ in shingles at most, which rules out pairs without any error.
+    """
+    n = np.diff(first)
+    bits = 1 << np.ceil(np.log2(np.maximum(4 * n, 512))).astype(np.int64)
+    start = np.cumsum(bits) - bits
+    cells = np.repeat(start, n) + (mix(shingles) & np.repeat(bits - 1, n).astype(U64)).astype(np.int64)
+    packed = np.packbits((np.bincount(cells, minlength=int(bits.sum())) & 1).astype(np.uint8)).tobytes()
+    return [packed[a // 8 : (a + b) // 8] for a, b in zip(start.tolist(), bits.tolist(), strict=True)]
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Bits in which two bitmaps differ; the larger one is folded, which flips bits as the smaller size would have."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _count(plan: Plan):
     """Each task's counts of shingles, by counter."""
 
@@ -87,7 +108,8 @@ def _sign(plan: Plan, shared):
             sums = np.append(0.0, np.cumsum(np.log1p(common)))
             rarity = -1e6 * (sums[first[1:]] - sums[first[:-1]]) / np.maximum(n, 1)
             columns = [column_of(block, "__id"), pa.array(n), pa.array(fingerprints(shingles, first), pa.binary()), pa.array(rarity.astype(np.int64)), rare]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "node", "rarity", "rare"])
+            columns.append(pa.array(parities(shingles, first), pa.binary(), mask=~able))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "node", "rarity", "rare", "parity"])
 
     return run
 
@@ -148,6 +170,21 @@ def _short_pairs(plan: Plan):
     return run
 
 
+def _near(plan: Plan):
+    """Pairs whose bitmaps don't rule them out. Pairs with a leader stay up to twice the distance of a link, as everyone that
+    someone linked with the leader is linked with lies within that."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for n_a, n_b, x, y, lead in zip(*(column_of(batch, c).to_pylist() for c in ("n_a", "n_b", "parity_a", "parity_b", "lead")), strict=True):
+                apart = n_a + n_b - 2 * plan.wanted(n_a + n_b)
+                good.append(differing_bits(x, y) <= apart * (2 if lead else 1))
+            yield batch.select(["a", "b", "lead"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
 def _compare(plan: Plan):
     """Whether a and b are linked; of pairs with a leader b, what a misses and has beyond b, too."""
 
@@ -187,7 +224,7 @@ def _derive(plan: Plan):
 
 
 class _Join:
-    """One run over the classes of a corpus: ``reps`` has node, id, n, rarity, rare; ``only`` the texts by id."""
+    """One run over the classes of a corpus: ``reps`` has node, id, n, rarity, rare, parity; ``only`` the texts by id."""
 
     def __init__(self, only: DataFrame, reps: DataFrame, plan: Plan):
         self.only, self.reps, self.plan = only, reps, plan
@@ -204,11 +241,16 @@ class _Join:
         direct = listed.select("entries").mapInArrow(_short_pairs(plan), "a binary, b binary").withColumn("lead", F.lit(False))
         long = entries.where(F.col("size") > plan.short)
         led = long.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"), F.lit(True).alias("lead"))
-        pairs = stored(direct.unionByName(led).groupBy("a", "b").agg(F.max("lead").alias("lead")), "pairs")
+        pairs = stored(self.near(direct.unionByName(led).groupBy("a", "b").agg(F.max("lead").alias("lead"))), "pairs")
         answers = stored(self.compared(pairs), "answers")
         found = components(answers.where("linked").select("a", "b"))
         return self.open_lists(long.drop("size"), answers.where("lead"), found)
 
+    def near(self, pairs: DataFrame) -> DataFrame:
+        for side in "ab":
+            pairs = pairs.join(self.reps.select(*(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "parity"))).withColumnRenamed(f"node_{side}", side), side)
+        return pairs.select("a", "b", "lead", "n_a", "n_b", "parity_a", "parity_b").mapInArrow(_near(self.plan), "a binary, b binary, lead boolean")
+
     def compared(self, pairs: DataFrame) -> DataFrame:
         """The answers to ``pairs`` by full sets, which are made anew from the texts of the classes asked for."""
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -268,8 +310,17 @@ class _Join:
                 for s in "ab"
             )
             both = pairs.join(left, ["a", "lead"], "left").join(right, ["b", "lead"], "left")
-            links = both.select("a", "b", "lead_n", "n_a", "n_b", "missing_a", "extra_a", "missing_b", "extra_b")
-            more = stored(links.mapInArrow(_derive(self.plan), "a binary, b binary"), "links")
+            both = both.withColumn("told", F.expr("(a = lead OR missing_a IS NOT NULL) AND (b = lead OR missing_b IS NOT NULL)"))
+            both = stored(both, "asked")
+            links = both.where("told").select("a", "b", "lead_n", "n_a", "n_b", "missing_a", "extra_a", "missing_b", "extra_b")
+            more = links.mapInArrow(_derive(self.plan), "a binary, b binary")
+            # Who is too far from the leader has no answer to derive from.
+            untold = both.where("NOT told").select("a", "b", F.lit(False).alias("lead"))
+            if not untold.isEmpty():
+                untold = stored(self.near(untold), "untold")
+                if not untold.isEmpty():
+                    more = more.unionByName(self.compared(untold).where("linked").select("a", "b"))
+            more = stored(more, "links")
             if not more.isEmpty():
                 found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
             crowded = alive.where(F.col("minors") > self.plan.few)
@@ -300,8 +351,8 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for row in totals.toLocalIterator():  # as many rows as counters at most
         counts[row.counter] = row.n
     shared = only.sparkSession.sparkContext.broadcast(counts)
-    signed = stored(only.mapInArrow(_sign(plan, shared), f"id {kind}, n long, node binary, rarity long, rare array<bigint>"), "classes")
-    firsts = [F.first(c).alias(c) for c in ("n", "rarity", "rare")]
+    signed = stored(only.mapInArrow(_sign(plan, shared), f"id {kind}, n long, node binary, rarity long, rare array<bigint>, parity binary"), "classes")
+    firsts = [F.first(c).alias(c) for c in ("n", "rarity", "rare", "parity")]
     reps = stored(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), *firsts), "classes")
     roots = _Join(only, reps.where("size(rare) > 0"), plan).components()
     linked = reps.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
