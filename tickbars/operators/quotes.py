@@ -119,7 +119,7 @@ def _entries_to_exits(waits: np.ndarray):
     """Where chains leave a stretch, for every ask and level at which one can enter it: by an ask within the longest wait from
     its start, or by the first one after that."""
 
-    def run(key, asks: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], asks: pa.Table) -> pa.Table:
         asks = _sorted_asks(asks)
         times, found = asks.column("event_ts_ms").to_numpy(), asks.column("found").to_numpy(zero_copy_only=False)
         many = min(int(np.searchsorted(times, key[1].as_py() + waits.max())) + 1, len(times))
@@ -147,10 +147,11 @@ def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if names_of[start] != symbol:
                 symbol, sought = names_of[start], (int(times[start]), 0)
             while sought is not None:
+                # Every entry has all levels, one after the other; a batch may end between them.
                 first = start + int(np.searchsorted(times[start:end], sought[0]))
-                hit = first + int(np.searchsorted(levels[first:end], sought[1])) if first < end else end
-                if hit >= end or times[hit] != sought[0] or levels[hit] != sought[1]:
+                if first == end or times[first] != sought[0] or first + sought[1] - levels[first] >= end:
                     break
+                hit = first + sought[1] - int(levels[first])
                 taken.append(hit)
                 sought = (int(to_time[hit]), int(to_level[hit])) if to_time[hit] != NOWHERE else None
             start = end
@@ -160,7 +161,7 @@ def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fetches_within(waits: np.ndarray):
     """The successful fetches of a stretch, from the entry of its chain on; a stretch the chain leaps over has none."""
 
-    def run(key, asks: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], asks: pa.Table) -> pa.Table:
         asks = _sorted_asks(asks)
         times, found = asks.column("event_ts_ms").to_numpy(), asks.column("found").to_numpy(zero_copy_only=False)
         entry, level = asks.column("entry_ms")[0].as_py(), asks.column("level")[0].as_py()
