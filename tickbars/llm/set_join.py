@@ -240,7 +240,9 @@ class _Join:
         listed = entries.where(F.col("size") <= plan.short).groupBy("token").agg(F.collect_list(F.struct("node", "n", "place")).alias("entries"))
         direct = listed.select("entries").mapInArrow(_short_pairs(plan), "a binary, b binary").withColumn("lead", F.lit(False))
         long = entries.where(F.col("size") > plan.short)
-        led = long.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"), F.lit(True).alias("lead"))
+        # Someone within twice the distance of a link from the leader isn't much smaller or larger, either.
+        led = long.where("node <> lead").where(f"100 * least(n, lead_n) >= {2 * plan.percent - 100} * greatest(n, lead_n)")
+        led = led.select(F.col("node").alias("a"), F.col("lead").alias("b"), F.lit(True).alias("lead"))
         pairs = stored(self.near(direct.unionByName(led).groupBy("a", "b").agg(F.max("lead").alias("lead"))), "pairs")
         answers = stored(self.compared(pairs), "answers")
         found = components(answers.where("linked").select("a", "b"))
