@@ -233,7 +233,8 @@ def score_texts(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id"
     """The columns ``keep`` of every row and its ``score``, after ``prefix``: the probability of label 1.
 
     Rows are scored one by one, without a shuffle, by all bytes of the text and nothing else: repeated rows get equal
-    scores, null and empty texts the score of a text without content, an empty table gives no rows.
+    scores, null and empty texts the score of a text without content, texts of any length are read whole, chunk by chunk,
+    other columns are ignored, an empty table gives no rows. One of ``keep`` that is named like the score asks for a prefix.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return mapped(docs, keep, text_col, "score double", _score(shared), prefix)

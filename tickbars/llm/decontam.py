@@ -164,7 +164,8 @@ def find_contamination(
     benchmark makes several passes in one plan, each adding to the findings of the one before.
 
     Null or empty texts have no words; empty items match nothing; a null item id counts as a hit without a name; repeated
-    rows give repeated results; other columns are ignored; an empty table or benchmark gives no hits.
+    rows give repeated results, and texts that tie in their share equal ones; texts of any length are searched whole; other
+    columns are ignored; an empty table or benchmark gives no hits.
     """
     spark = docs.sparkSession
     made = [prefix + x.split()[0] for x in FOUND.split("; ")]

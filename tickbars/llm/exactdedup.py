@@ -263,7 +263,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts are UTF-8 bytes, and so is the rest, which may begin or end within a character. Every byte is taken out that a
     string of ``length`` bytes covers which also starts anywhere else, in this row or another; strings are judged on the
     input. Repeated rows hold each other's strings; rows that share an id only are told apart by their text. Null and
-    empty texts, and ones shorter than ``length``, stay as they are; null ids are ids; other columns are ignored; an
+    empty texts, and ones shorter than ``length``, stay as they are; texts of any length are judged whole; of several equal
+    places none is spared, so ties don't matter; null ids are ids; other columns are ignored; an
     empty table gives no rows.
 
     Texts are shuffled twice by id, and beside them a row of a few numbers for every run (about one in 170 bytes). Counts

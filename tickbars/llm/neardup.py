@@ -359,7 +359,8 @@ def find_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Null texts and texts without words have the empty set and are linked with nothing. Rows with equal sets are one
     class whether or not they share an id; rows that share an id aren't linked for that. Null ids come last; a component
-    of null ids alone keeps its rows. Other columns are ignored; an empty table gives no rows.
+    of null ids alone keeps its rows. Texts of any length count whole; ties between equally rare shingles go by their hashes
+    and don't show in the result. Other columns are ignored; an empty table gives no rows.
 
     Signatures, sets of candidate classes and link tables are written to the shared folder.
     """

@@ -343,7 +343,7 @@ def pack_documents(
     ``sequence_id`` lie one after the other from offset 0 and take up ``capacity`` ids at most.
 
     Null and empty texts are the end id alone; repeated rows are packed each; null ids stay; ties go by place in the
-    input; other columns are ignored; an empty table gives no rows. The packed pieces of the tasks are written to the
+    input; texts of any length are packed whole, piece by piece; other columns are ignored; an empty table gives no rows. The packed pieces of the tasks are written to the
     shared folder once, so no text is tokenized twice.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text())

@@ -127,6 +127,6 @@ def judge_quality(
     out of band on one side. With ``only_kept`` rejected rows are left out.
 
     Rows are judged one by one, without a shuffle: repeated rows and ties get equal verdicts, null or empty texts have no
-    words and fail, nulls elsewhere pass through, other columns are ignored, an empty table gives no rows.
+    words and fail, texts of any length are judged whole, nulls elsewhere pass through, other columns are ignored, an empty table gives no rows.
     """
     return mapped(docs, keep, text_col, SCHEMA, _judge(rules), prefix, "kept" if only_kept else None)

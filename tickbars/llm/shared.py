@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
+_ROOTS: dict[str, str] = {}
 
 #: Bytes of text a task looks at in one go; temporaries are a small multiple of it.
 BLOCK_BYTES = 4_000_000
@@ -33,12 +34,17 @@ def shipped(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; only where that is unset (tests), a new temporary one."""
+    """The folder named in ``spark.checkpoint.dir``. Where that is unset a local session (tests) gets a temporary one; on a
+    cluster it is an error, as executors couldn't see each other's files."""
     base = spark.conf.get("spark.checkpoint.dir", "")
-    if not base:
-        base = tempfile.mkdtemp(prefix="tickbars-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder on shared storage")
+    if context.applicationId not in _ROOTS:
+        _ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tickbars-llm-")
+    return _ROOTS[context.applicationId]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

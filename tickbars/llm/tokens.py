@@ -133,7 +133,8 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     and proved on the driver and broadcast.
 
     Rows are counted one by one, without a shuffle: repeated rows and ids give repeated results, null and empty texts
-    have 0 bytes and tokens, null ids stay, other columns are ignored, an empty table gives no rows.
+    have 0 bytes and tokens, null ids stay, texts of any length are counted whole, other columns are ignored, an empty table
+    gives no rows. A text's count depends on nothing else, so ties can't arise.
     """
     source = Path(vocabulary_path).read_text()
     proved = Vocabulary(source).prove()
