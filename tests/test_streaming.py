@@ -11,13 +11,15 @@ from tickbars.operators import bars, bins, facts, gapfill, lateness, rollups
 from tickbars.plans.feed import emitted_ms
 from tickbars.session import shared_folder
 from tickbars.settings import Settings
-from tickbars.sinks import tables
+from tickbars.schemas import FACT_1S, FACT_60S, FACT_300S
+from tickbars.sinks import tables, versioned
 from tickbars.sources import ticks as tick_source
 from tickbars.streaming import native, stages
 from tickbars.streaming.classify import batch_folder_sink, split_stream, watermark_table
 
 T0 = 1_735_822_800_000
 LOAD = dt.datetime(2025, 1, 3)
+FACTS = {"fact_1s": FACT_1S, "fact_60s": FACT_60S, "fact_300s": FACT_300S}
 
 
 def _random_ticks(count, spread_ms):
@@ -96,18 +98,18 @@ def test_pipeline_drained_equals_batch(spark, tick_files):
 
     minutes = rollups.minute_bars(batch_bars)
     expected_60 = facts.fact_60s(rollups.minute_index(minutes, 2), LOAD)
-    _same(spark.read.parquet(f"{root}/fact_60s"), expected_60, *expected_60.columns)
+    _same(_facts_of(spark, root, "fact_60s"), expected_60, *expected_60.columns)
     expected_300 = facts.fact_300s(rollups.counted_batches(minutes, 2), LOAD)
     assert expected_300.count() >= 4
-    _same(spark.read.parquet(f"{root}/fact_300s"), expected_300, *expected_300.columns)
+    _same(_facts_of(spark, root, "fact_300s"), expected_300, *expected_300.columns)
     expected_1 = facts.fact_1s(batch_bars, LOAD)
-    _same(spark.read.parquet(f"{root}/fact_1s"), expected_1, *expected_1.columns)
+    _same(_facts_of(spark, root, "fact_1s"), expected_1, *expected_1.columns)
     assert _read(spark, f"{root}/late_ticks").count() == frame.count() - accepted.count()
 
     # A batch that is run again leaves everything as it is.
     pipeline.drain(batches, frame)
     _same(_read(spark, f"{root}/bins"), batch_bins, *batch_bins.columns)
-    _same(spark.read.parquet(f"{root}/fact_1s"), expected_1, *expected_1.columns)
+    _same(_facts_of(spark, root, "fact_1s"), expected_1, *expected_1.columns)
 
 
 def test_idle_minutes_settle(spark, ticks_of, tmp_path):
@@ -178,20 +180,12 @@ def _batch_like(spark, stream):
     return spark.createDataFrame([], stream.schema)
 
 
-def test_upsert_table(spark, bars_of, tmp_path):
-    day = 86_400_000
-    path, staging = str(tmp_path / "fact"), str(tmp_path / "staging")
-    first = facts.fact_1s(bars_of([("A", T0, 1, 1), ("A", T0 + day, 2, 1), ("B", T0, 3, 1)]), LOAD)
-    tables.upsert(spark, first, path, f"{staging}/0")
-    second = facts.fact_1s(bars_of([("A", T0, 9, 1), ("C", T0 + 2 * day, 4, 1)]), LOAD)
-    for _ in range(2):
-        tables.upsert(spark, second, path, f"{staging}/1")
-    got = sorted((r.symbol, float(r.close), str(r.trade_date)) for r in spark.read.parquet(path).collect())
-    assert got == [("A", 2.0, "2025-01-03"), ("A", 9.0, "2025-01-02"), ("B", 3.0, "2025-01-02"), ("C", 4.0, "2025-01-04")]
-    tables.overwrite(first.limit(1), str(tmp_path / "dim"))
-    tables.overwrite(first.limit(2), str(tmp_path / "dim"))
-    tables.append(first.limit(1), str(tmp_path / "dim"))
-    assert spark.read.parquet(str(tmp_path / "dim")).count() == 3
+def test_dimension_tables(spark, tmp_path):
+    path, rows = str(tmp_path / "dim"), spark.range(3)
+    tables.overwrite(rows.limit(1), path)
+    tables.overwrite(rows.limit(2), path)
+    tables.append(rows.limit(1), path)
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_root_defaults_to_the_shared_folder(spark):
@@ -204,7 +198,8 @@ def test_root_defaults_to_the_shared_folder(spark):
 
 
 def _facts_of(spark, root, name):
-    return spark.read.parquet(f"{root}/{name}")
+    schema = facts.with_trade_hour(spark.createDataFrame([], FACTS[name])).schema
+    return versioned.read(spark, f"{root}/{name}", schema)
 
 
 def test_settled_minute_is_one_row(spark, ticks_of, tmp_path):
@@ -309,19 +304,6 @@ def test_files_of_a_batch_arrive_by_time(spark, tmp_path):
     assert _read(spark, f"{tmp_path}/out/late_ticks").count() == 0
 
 
-def test_upsert_after_a_crash(spark, bars_of, tmp_path):
-    """A batch that died while its hours were published is finished from staging, not merged with what is left."""
-    path, staging = str(tmp_path / "fact"), str(tmp_path / "staging")
-    tables.upsert(spark, facts.fact_1s(bars_of([("A", T0, 1, 1), ("A", T0 + 1000, 2, 1)]), LOAD), path, f"{staging}/0", batch=0)
-    second = facts.fact_1s(bars_of([("A", T0, 9, 1)]), LOAD)
-    tables.upsert(spark, second, path, f"{staging}/1", batch=1)
-    import shutil
-
-    shutil.rmtree(next((tmp_path / "fact").glob("trade_date=*")))  # the hours are gone, as after half a swap
-    tables.upsert(spark, second, path, f"{staging}/1", batch=1)
-    assert sorted(float(r.close) for r in spark.read.parquet(path).collect()) == [2.0, 9.0]
-
-
 def test_old_state_does_not_pile_up(spark, ticks_of, tmp_path):
     frame = ticks_of([("A", T0 + i * 400, 1, 1) for i in range(30)])
     pipeline = stages.TickPipeline(spark, str(tmp_path), ingest=emitted_ms(), load_ts=LOAD)

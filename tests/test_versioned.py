@@ -62,7 +62,7 @@ def test_readers_see_old_or_new_at_every_moment(spark, fact_of, tmp_path, monkey
     def look(step):
         seen.append((step, _read(spark, path, old)))
 
-    publish, collect = versioned.publish, versioned.collect
+    publish = versioned.publish
 
     def watched_publish(*args):
         look("data written")
@@ -78,13 +78,10 @@ def test_readers_see_old_or_new_at_every_moment(spark, fact_of, tmp_path, monkey
             (newest / name).write_bytes(files[name])
         look("published")
 
-    def watched_collect(*args):
-        collect(*args)
-        look("collected")
-
     monkeypatch.setattr(versioned, "publish", watched_publish)
-    monkeypatch.setattr(versioned, "collect", watched_collect)
     versioned.upsert(spark, new, path, batch=1)
+    versioned.collect(spark, path, 1)
+    look("collected")
     before, after = _rows(old), _rows(new)
     assert len(seen) >= 5 and seen[0][1] == before and seen[-1][1] == after
     assert all(rows in (before, after) for _, rows in seen), [s for s, rows in seen if rows not in (before, after)]
@@ -113,11 +110,11 @@ def test_pinned_reader_and_collection(spark, fact_of, tmp_path):
     like = fact_of([("A", T0, 0, 1)])
     versioned.upsert(spark, like, path, batch=0)
     pinned = versioned.read(spark, path, facts.with_trade_hour(like).schema)
-    for batch in range(1, 8):
+    for batch in range(1, 9):
         versioned.upsert(spark, fact_of([("A", T0, batch, 1), ("B", T0 + batch * DAY, batch, 1)]), path, batch=batch)
         if batch == 2:
             assert [float(r.close) for r in pinned.collect()] == [0.0]
-    assert [v for v, _ in versioned.versions(spark, path)] == [6, 7, 8]
+    assert [v for v, _ in versioned.versions(spark, path)] == [7, 8, 9]
     on_disk = {str(p.relative_to(tmp_path / "fact" / "data")) for p in (tmp_path / "fact" / "data").rglob("*.parquet")}
     live = set()
     for version, _ in versioned.versions(spark, path):

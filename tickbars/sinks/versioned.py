@@ -20,7 +20,7 @@ DATA, MANIFESTS = "data", "_versions"
 BOUNDS = "first_start TIMESTAMP, last_start TIMESTAMP, first_end TIMESTAMP, last_end TIMESTAMP"
 MANIFEST = f"file STRING, trade_date DATE, trade_hour INT, n_rows BIGINT, {BOUNDS}"
 
-#: Versions that stay readable; what only older ones use is collected.
+#: Versions that stay readable; what only older ones use is collected once there are twice as many.
 KEPT_VERSIONS = 3
 
 
@@ -85,11 +85,20 @@ def recent(spark: SparkSession, path: str, schema: T.StructType, since, version:
     return read(spark, path, schema, F.col("last_end") >= since, version).where(F.col("end_ts") >= since)
 
 
+def _hours(rows: DataFrame) -> list[str]:
+    """The hours that rows lie in, as text: few, however many the rows."""
+    return [r.hour for r in with_trade_hour(rows).select(_hour().alias("hour")).distinct().collect()]
+
+
+def _hour() -> Column:
+    return F.concat_ws(" ", *PARTITIONS)
+
+
 def in_hours(spark: SparkSession, path: str, schema: T.StructType, touched: DataFrame, version: int | None = None) -> DataFrame:
     """Rows of the hours that ``touched`` (with ``start_ts``) lies in, from the files of these hours."""
-    hours = with_trade_hour(touched).select(*PARTITIONS).distinct()
-    files = manifest(spark, path, version).join(hours, PARTITIONS, "left_semi").select("file").collect()
-    return _data(spark, path, [r.file for r in files], schema)
+    if not versions(spark, path):
+        return spark.createDataFrame([], schema)
+    return read(spark, path, schema, _hour().isin(_hours(touched)), version)
 
 
 def upsert(spark: SparkSession, facts: DataFrame, path: str, key: str = "bar_id", order: str | None = None, batch: int = 0) -> int:
@@ -105,20 +114,21 @@ def upsert(spark: SparkSession, facts: DataFrame, path: str, key: str = "bar_id"
         return version
     incoming = with_trade_hour(facts)
     stored = incoming.drop(order or "")
-    hours = [tuple(r) for r in incoming.select(*PARTITIONS).distinct().collect()]  # as many as the batch touches
+    hours = _hours(facts)
     if not hours:
         return version
-    touched = spark.createDataFrame(hours, "trade_date DATE, trade_hour INT")
     known = manifest(spark, path, version)
-    replaced = known.join(touched, PARTITIONS, "left_semi").select("file").collect()
+    touched = _hour().isin(hours)
+    replaced = known.where(touched).select("file").collect()
     existing = _data(spark, path, [r.file for r in replaced], stored.schema)
     merged = merge_by_key(existing, incoming, key, order)
     new = f"version={version + 1}"
     # One task per hour and symbol: few files, each within one hour.
     parts = merged.repartition(*PARTITIONS, "symbol").sortWithinPartitions(*PARTITIONS)
     parts.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{path}/{DATA}/{new}")
-    publish(spark, path, version, batch, stored.schema, known.join(touched, PARTITIONS, "left_anti"))
-    collect(spark, path)
+    publish(spark, path, version, batch, stored.schema, known.where(~touched))
+    if len(done) + 1 >= 2 * KEPT_VERSIONS:
+        collect(spark, path)
     return version + 1
 
 
