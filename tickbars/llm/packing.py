@@ -10,7 +10,9 @@ pieces) is packed once more in groups over all tasks. Only those few light rows
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -19,6 +21,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +35,13 @@ CAPACITY = 4096
 BLOCK_PIECES, BLOCK_TOKENS, CARRIED, GROUP_PIECES = 20_000, 16_000_000, 2_000, 20_000
 
 #: Chunks of text whose ids a worker remembers; beyond it the older half is dropped.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 ENDINGS = b".,;:!?"
 
+#: A byte that no UTF-8 text has, for the end of a word; and bytes of a word that are merged as ranks at most.
+END, LONG_WORD = b"\xff", 1_000
+
 
 class ChunkIds(dict):
     """Ids, as bytes, of chunks between white space; the tokenizer drops white space and never merges across it.
@@ -50,6 +56,27 @@ class ChunkIds(dict):
         self.model = self.tokenizer.model
         self.old: dict[bytes, bytes] = {}
         self.table = str.maketrans({chr(b): letter for b, letter in enumerate(byte_letters())})
+        self.ranks = self._ranked(json.loads(source)["model"])
+
+    @staticmethod
+    def _ranked(model: dict) -> tiktoken.Encoding | None:
+        """The merges as ranks of byte strings, where every merge makes the next id. The end-of-word suffix is a byte that
+        UTF-8 doesn't have; it joins the last byte before anything else, as the suffix is on the last letter from the start."""
+        suffix, vocabulary = model.get("end_of_word_suffix"), model["vocab"]
+        back = {letter: bytes([b]) for b, letter in enumerate(byte_letters())}
+
+        def spelt(entry: str) -> bytes:
+            end = END if entry.endswith(suffix) else b""
+            return b"".join(back[c] for c in entry.removesuffix(suffix)) + end
+
+        merges = [m.split() if isinstance(m, str) else m for m in model["merges"]]
+        if not suffix or [vocabulary["".join(m)] for m in merges] != list(range(512, 512 + len(merges))):
+            return None
+        ranks = {spelt(entry): i for entry, i in vocabulary.items() if i < 512 + len(merges)}
+        singles = {b + e for b in back.values() for e in (b"", END)}
+        if len(ranks) != 512 + len(merges) or {b for b, i in ranks.items() if i < 512} != singles:
+            return None
+        return tiktoken.Encoding("ranks", pat_str="", mergeable_ranks=ranks, special_tokens={})
 
     def __missing__(self, chunk: bytes) -> bytes:
         ids = self.old.get(chunk)
@@ -70,17 +97,31 @@ class ChunkIds(dict):
                 return self[core] + self[chunk[len(core) :]]
         text = chunk.decode()
         if text.isalpha() and max(text) <= "ÿ":
-            found = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(self.table))]
+            said = text.lower().encode()
+            if self.ranks is not None and len(said) < LONG_WORD:
+                return array("I", self.ranks._encode_single_piece(said + END)).tobytes()
+            found = [t.id for t in self.model.tokenize(said.decode("latin-1").translate(self.table))]
         else:
             found = self.tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join(i.to_bytes(4, "little") for i in found)
 
 
+_KNOWN: dict[str, ChunkIds] = {}
+
+
+def _known(source: str) -> ChunkIds:
+    """One per Python worker, which serves many tasks."""
+    if source not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[source] = ChunkIds(source)
+    return _KNOWN[source]
+
+
 def _tokenize(shared, end_id: int, capacity: int, with_ids: bool):
     names = ["__id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ChunkIds(shared.value)
+        known = _known(shared.value)
         end, cut = end_id.to_bytes(4, "little"), 4 * capacity
         for block in blocks(batches):
             owner, rows, ids = [], [], []
