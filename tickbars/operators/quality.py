@@ -83,19 +83,18 @@ def summary(expected: DataFrame, actual: DataFrame, tolerance: float = TOLERANCE
     return counted.withColumn("passed", clean)
 
 
-def _digit_pass(counts: DataFrame, shift: int, found: Column) -> Column:
-    """Narrow ``found`` (``prefix`` of the value sought, and its ``rank`` among the values with that prefix) by one digit.
-
-    A digit has ``1 << DIGIT_BITS`` values, and as many counts are all that one task orders.
+def _digit_pass(counts: DataFrame, shift: int, state: DataFrame) -> DataFrame:
+    """Narrow ``state``, one row with the ``prefix`` of the value sought and its ``rank`` among the values with that prefix, by
+    one digit. A digit has ``1 << DIGIT_BITS`` values, and as many counts are all that one task orders.
     """
-    rows = counts
-    if shift + DIGIT_BITS < 64:
-        rows = counts.where(F.shiftright("latency", shift + DIGIT_BITS) == found.getField("prefix"))
-    digits = rows.groupBy(F.shiftright("latency", shift).alias("prefix")).agg(F.sum("n").alias("n"))
+    above = F.shiftright("latency", shift + DIGIT_BITS) if shift + DIGIT_BITS < 64 else F.lit(0).cast("long")
+    carried = ["rank", "total", "worst"]
+    rows = counts.select("latency", "n", above.alias("prefix")).join(state, "prefix")
+    firsts = [F.first(c).alias(c) for c in carried]
+    digits = rows.groupBy(F.shiftright("latency", shift).alias("prefix")).agg(F.sum("n").alias("n"), *firsts)
     upto = W.partitionBy(F.lit(1)).orderBy("prefix").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = digits.select("prefix", (found.getField("rank") - F.sum("n").over(upto) + F.col("n")).alias("rank"), "n")
-    inside = placed.where("rank >= 0 AND rank < n")
-    return inside.agg(F.first(F.struct("prefix", "rank"))).scalar()
+    placed = digits.withColumn("rank", F.col("rank") - F.sum("n").over(upto) + F.col("n"))
+    return placed.where("rank >= 0 AND rank < n").select("prefix", *carried)
 
 
 def latency_stats(bars: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -112,13 +111,13 @@ def latency_stats(bars: DataFrame, quantile: float = QUANTILE) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     overall = counts.agg(F.sum("n").alias("total"), F.max("latency").alias("worst"))
-    rank = F.least(F.col("total") - 1, F.floor(F.col("total") * F.lit(quantile)))
-    zero = F.lit(0).cast("long")
-    found = overall.select(F.struct(zero.alias("prefix"), rank.cast("long").alias("rank"))).scalar()
+    rank = F.least(F.col("total") - 1, F.floor(F.col("total") * F.lit(quantile))).cast("long")
+    state = overall.select(F.lit(0).cast("long").alias("prefix"), rank.alias("rank"), "total", "worst")
     for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
-        found = _digit_pass(counts, shift, found)
-    return overall.select(
-        F.coalesce("total", zero).alias("bars"),
-        F.coalesce(found.getField("prefix"), zero).alias("p95_ms"),
-        F.coalesce("worst", zero).alias("max_ms"),
+        state = _digit_pass(counts, shift, state)
+    zero = F.lit(0).cast("long")
+    return state.agg(
+        F.coalesce(F.max("total"), zero).alias("bars"),
+        F.coalesce(F.max("prefix"), zero).alias("p95_ms"),
+        F.coalesce(F.max("worst"), zero).alias("max_ms"),
     )

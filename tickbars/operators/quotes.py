@@ -158,7 +158,7 @@ def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(names).take(pa.array(taken, pa.int64()))
 
 
-def _fetches_within(waits: np.ndarray):
+def _fetches_within(waits: np.ndarray, names: list[str]):
     """The successful fetches of a stretch, from the entry of its chain on; a stretch the chain leaps over has none."""
 
     def run(key: tuple[pa.Scalar, ...], asks: pa.Table) -> pa.Table:
@@ -170,13 +170,14 @@ def _fetches_within(waits: np.ndarray):
             _, _, steps = walk(times, found, waits, np.searchsorted(times, [entry]), np.array([level]))
             at = np.concatenate(steps)
         hits = asks.take(pa.array(at[found[at]]))
-        return hits.select(["symbol", "event_ts_ms", "quote_id"]).rename_columns(["symbol", "lead_ts_ms", "lead_id"])
+        return hits.select(["symbol", "event_ts_ms", "quote_id", *names]).rename_columns(["symbol", "lead_ts_ms", "lead_id", *names])
 
     return run
 
 
-def history_fetches(asks: DataFrame, wait_ms: int = REFETCH_MS, max_wait_ms: int = MAX_REFETCH_MS) -> DataFrame:
-    """Which of the quotes without a price fetch history with success: ``symbol, lead_ts_ms, lead_id``.
+def history_fetches(asks: DataFrame, wait_ms: int = REFETCH_MS, max_wait_ms: int = MAX_REFETCH_MS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Which of the quotes without a price fetch history with success: ``symbol, lead_ts_ms, lead_id``, and the columns
+    ``keep`` of the asks that fetched.
 
     ``asks`` has ``symbol, quote_id, event_ts_ms`` and whether history is ``found`` at that time. A symbol's first ask
     fetches; after a fetch the next one waits ``wait_ms``, and after an empty one twice the wait before, up to
@@ -189,31 +190,29 @@ def history_fetches(asks: DataFrame, wait_ms: int = REFETCH_MS, max_wait_ms: int
     """
     levels = wait_levels(wait_ms, max_wait_ms)
     waits = np.array(levels, np.int64)
-    moments = asks.groupBy("symbol", "event_ts_ms").agg(F.min("quote_id").alias("quote_id"), F.max("found").alias("found"))
+    # One aggregate with all that later steps need, so that they share its shuffle.
+    first = F.min(F.struct("quote_id", *keep)).alias("_first")
+    moments = asks.groupBy("symbol", "event_ts_ms").agg(first, F.max("found").alias("found"))
+    moments = moments.select("symbol", "event_ts_ms", "found", "_first.*")
     hours = moments.withColumn("hour_ms", x.floor_ms("event_ts_ms", HOUR_MS))
     entry = "symbol string, event_ts_ms long, level long, after_ms long, next_level long"
     exits = hours.groupBy("symbol", "hour_ms").applyInArrow(_entries_to_exits(waits), entry)
     # The entry an exit leads to is the first one at or after it, in its own hour or a later one.
-    targets = exits.where("level = 0").select("symbol", F.col("event_ts_ms").alias("at_ms"), F.col("event_ts_ms").alias("target"))
-    probes = exits.select("symbol", F.col("after_ms").alias("at_ms"), F.struct("event_ts_ms", "level", "next_level").alias("_from"))
-    pooled = targets.unionByName(probes, allowMissingColumns=True).withColumn(ordering.CHUNK, x.floor_ms("at_ms", HOUR_MS))
-    backwards = W.partitionBy("symbol").orderBy(F.desc(ordering.CHUNK))
-    pooled = ordering.carry(
-        pooled,
-        ["symbol"],
-        ordering.CHUNK,
-        [F.min("target").alias("_hour_first")],
-        lambda _: [F.min("_hour_first").over(backwards.rowsBetween(W.unboundedPreceding, -1)).alias("_later")],
-    )
-    onward = W.partitionBy("symbol", ordering.CHUNK).orderBy(F.desc("at_ms")).rangeBetween(W.unboundedPreceding, W.currentRow)
-    linked = pooled.withColumn("to_ms", F.coalesce(F.min("target").over(onward), "_later", F.lit(NOWHERE).cast("long")))
+    target = "named_struct('at_ms', event_ts_ms, 'target', event_ts_ms, '_from', CAST(NULL AS STRUCT<event_ts_ms: BIGINT, level: BIGINT, next_level: BIGINT>))"
+    probe = "named_struct('at_ms', after_ms, 'target', CAST(NULL AS BIGINT), '_from', named_struct('event_ts_ms', event_ts_ms, 'level', level, 'next_level', next_level))"
+    both = exits.selectExpr("symbol", f"explode(IF(level = 0, array({target}, {probe}), array({probe}))) AS _row").select("symbol", "_row.*")
+    # Links are few beside the asks, so a symbol's may be ordered as a whole, latest first: the least target so far is next.
+    onward = W.partitionBy("symbol").orderBy(F.desc("at_ms")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    linked = both.withColumn("to_ms", F.coalesce(F.min("target").over(onward), F.lit(NOWHERE).cast("long")))
     links = linked.where("_from IS NOT NULL").select("symbol", "_from.event_ts_ms", "_from.level", "to_ms", F.col("_from.next_level").alias("to_level"))
     ordered = links.repartition("symbol").sortWithinPartitions("symbol", "event_ts_ms", "level")
     entered = ordered.mapInArrow(_follow, "symbol string, event_ts_ms long, level long")
     entered = entered.select("symbol", x.floor_ms("event_ts_ms", HOUR_MS).alias("hour_ms"), F.col("event_ts_ms").alias("entry_ms"), "level")
     kind = asks.schema["quote_id"].dataType.simpleString()
     known = hours.join(entered, ["symbol", "hour_ms"], "left")
-    return known.groupBy("symbol", "hour_ms").applyInArrow(_fetches_within(waits), f"symbol string, lead_ts_ms long, lead_id {kind}")
+    kept = "".join(f", {c} {asks.schema[c].dataType.simpleString()}" for c in keep)
+    schema = f"symbol string, lead_ts_ms long, lead_id {kind}{kept}"
+    return known.groupBy("symbol", "hour_ms").applyInArrow(_fetches_within(waits, list(keep)), schema)
 
 
 def backfill(quotes: DataFrame, minutes: DataFrame, refetch_ms: int = REFETCH_MS, max_refetch_ms: int = MAX_REFETCH_MS) -> DataFrame:
@@ -233,12 +232,10 @@ def backfill(quotes: DataFrame, minutes: DataFrame, refetch_ms: int = REFETCH_MS
         return _from_history(looked, needy & F.col("bar_close").isNotNull()).select(*quotes.columns)
 
     looked = lacking.join(found, ["symbol", "minute_ms"], "left").withColumn("found", F.col("bar_close").isNotNull())
-    fetched = history_fetches(looked, refetch_ms, max_refetch_ms)
-    values = ["quote_id", "event_ts_ms", "bid", "ask", "sz", "bar_ts_ms", "bar_close", "bar_volume"]
-    lead = F.struct(*values).alias("_lead")
-    leaders = looked.select("symbol", "quote_id", lead).join(
-        fetched.select("symbol", F.col("lead_id").alias("quote_id")), ["symbol", "quote_id"]
-    )
+    values = ["bid", "ask", "sz", "bar_ts_ms", "bar_close", "bar_volume"]
+    fetched = history_fetches(looked, refetch_ms, max_refetch_ms, tuple(values))
+    lead = F.struct(F.col("lead_id").alias("quote_id"), F.col("lead_ts_ms").alias("event_ts_ms"), *values).alias("_lead")
+    leaders = fetched.select("symbol", lead)
     # Fetches lie a wait apart, so a slot of that width holds one at most; earlier ones are carried over slots and days.
     slot = x.floor_ms("event_ts_ms", refetch_ms)
     own = leaders.select("symbol", x.floor_ms("_lead.event_ts_ms", refetch_ms).alias("_slot"), "_lead")
