@@ -133,3 +133,28 @@ def test_components(spark):
     got = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(51)}, 100: 100, 150: 100, 200: 100, **{300 + i: 300 for i in range(40)}}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_small_link_tables_need_no_passes(spark, monkeypatch):
+    """Links that fit one block are settled by their tasks and one more, a larger table by passes; both alike."""
+    written = []
+    monkeypatch.setattr(components, "stored", lambda df, name, store=components.stored: written.append(name) or store(df, name))
+    links = [(i, i + 1) for i in range(300)] + [(1000 + i % 7, 1000 + i) for i in range(200)] + [(None, 3), (4, None)]
+    frame = spark.createDataFrame(links, "a long, b long").repartition(5)
+    expected = {**{i: 0 for i in range(301)}, **{1000 + i: 1000 + i % 7 for i in range(200)}}
+    assert dict(components.components(frame).collect()) == expected
+    assert len(written) == 2
+    assert dict(components.components(frame, block=20).collect()) == expected
+    assert len(written) > 4
+
+
+def test_star_links():
+    rng = np.random.default_rng(2)
+    for n in (1, 5, 40, 400):
+        a, b = rng.integers(0, n + 20, n), rng.integers(0, n + 20, n)
+        least = {int(x): int(x) for x in (*a, *b)}
+        for _ in range(n):
+            for x, y in zip(a.tolist(), b.tolist()):
+                least[x] = least[y] = min(least[x], least[y])
+        node, root = components.star_links(pa.array(a), pa.array(b))
+        assert dict(zip(node.to_pylist(), root.to_pylist())) == {x: r for x, r in least.items() if x != r}

@@ -19,10 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickbars.llm.components import components
+from tickbars.llm.lookup import texts_by_id
 from tickbars.llm.shared import blocks, column_of, named, stored, texts_of
 from tickbars.llm.spans import LOWERED_VALUES, U64, buffers, find_words, mix, seeded, span_hashes, window_hashes, windows
 
@@ -142,7 +143,8 @@ def _sets(size: int):
             nodes = column_of(block, "node").to_pylist()
             same = [i for i, (a, b) in enumerate(zip(fingerprints(shingles, first), nodes, strict=True)) if a == b]
             raw = [shingles[first[i] : first[i + 1]].tobytes() for i in same]
-            yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in same], pa.binary()), pa.array(raw, pa.binary())], names=["node", "shingles"])
+            own = [column_of(block, c).take(pa.array(same, pa.int64())) for c in ("node", "crowded")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(raw, pa.binary())], names=["node", "crowded", "shingles"])
 
     return run
 
@@ -256,16 +258,16 @@ class Search:
         sizes = stored(bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
         members = stored(bands.join(sizes, "bucket"), "buckets")
         few = stored(self.near(self.pairs_within(members.where(F.col("size") <= plan.small))), "pairs")
-        crowded = members.where(F.col("size") > plan.small).select("node").distinct().withColumn("crowded", F.lit(True))
-        nodes = few.select(F.col("a").alias("node")).union(few.select("b")).distinct().join(crowded, "node", "full")
-        wanted = nodes.join(self.reps, "node").select("id", "node", F.coalesce("crowded", F.lit(False)).alias("crowded"))
-        texts = self.only.join(wanted.withColumnRenamed("id", "rep"), F.col("__id").eqNullSafe(F.col("rep")))
+        crowded = members.where(F.col("size") > plan.small).select("node", F.lit(True).alias("crowded"))
+        paired = few.select(F.explode(F.array("a", "b")).alias("node"), F.lit(False).alias("crowded"))
+        nodes = paired.unionByName(crowded).groupBy("node").agg(F.max("crowded").alias("crowded"))
+        wanted = stored(nodes.join(self.reps.select("node", F.col("id").alias("rep")), "node"), "wanted")
+        texts = texts_by_id(self.only, wanted)
         # Repeated rows of one document bring its set several times; any of them will do.
-        sets = texts.select("__text", "node").mapInArrow(_sets(plan.shingle), "node binary, shingles binary")
+        sets = texts.select("__text", "node", "crowded").mapInArrow(_sets(plan.shingle), "node binary, crowded boolean, shingles binary")
         sets = stored(sets.dropDuplicates(["node"]), "sets")
-        found = self.confirmed(few, sets)
+        crowd = sets.where("crowded")
 
-        crowd = sets.join(members.where(F.col("size") > plan.small).select("node").distinct(), "node", "semi")
         counts = np.zeros(plan.counters, np.int64)
         totals = crowd.mapInArrow(_frequencies(plan), "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
         for row in totals.toLocalIterator():  # as many rows as counters at most
@@ -275,7 +277,7 @@ class Search:
         sizes = stored(prefix.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
         prefix = stored(prefix.join(sizes, "bucket"), "prefixes")
         little = self.near(self.pairs_within(prefix.where(F.col("size") <= plan.small)))
-        links = stored(found.unionByName(self.confirmed(little, sets)), "links")
+        links = stored(self.confirmed(few.unionByName(little), sets), "links")
         rest = prefix.where(F.col("size") > plan.small).drop("size")
         return self.by_leaders(rest, links, sets)
 
@@ -285,14 +287,15 @@ class Search:
         Per bucket and set size the largest number of shingles from the place on is kept, and the largest of another
         component. That is exact: no other member offers more, so a member that fails against all sizes matches nobody.
         """
-        known = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        known = stored(members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "known")
         rest = known.groupBy("bucket", "n", "root").agg(F.max(F.col("n") - F.col("place")).alias("left"))
-        first = rest.groupBy("bucket", "n").agg(F.max(F.struct("left", "root")).alias("top"))
-        second = rest.join(first, ["bucket", "n"]).where("root <> top.root").groupBy("bucket", "n").agg(F.max("left").alias("next"))
-        each = first.join(second, ["bucket", "n"], "left").select("bucket", F.struct(F.col("n").alias("m"), "top", "next").alias("offer"))
-        offers = stored(each.groupBy("bucket").agg(F.collect_list("offer").alias("offers")), "offers")
-        offer = "least(n - place, CASE WHEN o.top.root <> root THEN o.top.left ELSE coalesce(o.next, 0) END)"
-        match = F.expr(f"exists(offers, o -> {offer} >= ceil({self.plan.percent} * (n + o.m) / {100 + self.plan.percent}))")
+        rank = F.row_number().over(Window.partitionBy("bucket", "n").orderBy(F.desc("left"), "root"))
+        best = rest.withColumn("rank", rank).where("rank <= 2")
+        offers = best.groupBy("bucket").agg(F.collect_list(F.struct(F.col("n").alias("m"), "root", "left")).alias("offers"))
+        offers = stored(offers, "offers")
+        match = F.expr(
+            f"exists(offers, o -> o.root <> root AND least(n - place, o.left) >= ceil({self.plan.percent} * (n + o.m) / {100 + self.plan.percent}))"
+        )
         return known.join(offers, "bucket").where(match).drop("offers")
 
     def by_leaders(self, members: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
@@ -305,14 +308,14 @@ class Search:
         leaders_each, few = 1, self.plan.small
         found = components(links)
         while True:
-            alive = self.open_members(members, found)
-            sizes = alive.groupBy("bucket", "root").agg(F.count("*").alias("size"))
+            open_ = stored(self.open_members(members, found), "open")
+            if open_.isEmpty():
+                return found
+            sizes = open_.groupBy("bucket", "root").agg(F.count("*").alias("size"))
             major = sizes.groupBy("bucket").agg(
                 F.max_by("root", F.struct("size", "root")).alias("major"), (F.sum("size") - F.max("size")).alias("minors")
             )
-            alive = stored(alive.join(major, "bucket"), "alive")
-            if alive.isEmpty():
-                return found
+            alive = stored(open_.join(major, "bucket"), "alive")
             part = F.pmod(F.xxhash64("node"), F.lit(leaders_each))
             crowded = alive.where(F.col("minors") > few)
             best = crowded.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("rarity", "node", "n", "place", "root")).alias("lead"))
