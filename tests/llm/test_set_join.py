@@ -154,3 +154,20 @@ def test_shared_by_leader():
 def test_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in op13_ngram_jaccard_join(spark, sf_dir).collect()), key=repr) == plain(rows)
+
+
+def test_only_compared_texts_move(spark, docs_of, monkeypatch):
+    """Texts of classes without a candidate aren't looked up, however often pairs are compared."""
+    moved = []
+
+    def watched(only, wanted, find=set_join.texts_by_id):
+        moved.append(wanted.count())
+        return find(only, wanted)
+
+    monkeypatch.setattr(set_join, "texts_by_id", watched)
+    own = [" ".join(f"w{i}_{k}" for k in range(30)) for i in range(60)]
+    near = [t + " end" for t in own[:3]]
+    rows = list(enumerate(own + near))
+    got = {r.doc_id: r.component_id for r in set_join.join_similar(docs_of(rows)).collect()}
+    assert got == {i: i - 60 if i >= 60 else i for i in range(63)}
+    assert moved == [6]

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickbars.llm.components import components
+from tickbars.llm.lookup import texts_by_id
 from tickbars.llm.neardup import fingerprints, shingle_sets
 from tickbars.llm.shared import blocks, column_of, named, stored, texts_of
 from tickbars.llm.spans import U64, buffers, mix
@@ -256,9 +257,9 @@ class _Join:
     def compared(self, pairs: DataFrame) -> DataFrame:
         """The answers to ``pairs`` by full sets, which are made anew from the texts of the classes asked for."""
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = nodes.join(self.reps.select("node", F.col("id").alias("rep")), "node")
-        texts = self.only.join(wanted, F.col("__id").eqNullSafe(F.col("rep"))).select("__text", "node")
-        sets = texts.mapInArrow(_sets(self.plan), "node binary, shingles binary")
+        wanted = stored(nodes.join(self.reps.select("node", F.col("id").alias("rep")), "node"), "wanted")
+        texts = texts_by_id(self.only, wanted)
+        sets = texts.select("__text", "node").mapInArrow(_sets(self.plan), "node binary, shingles binary")
         # Repeated rows of one document bring its set several times; any of them will do.
         sets = stored(sets.dropDuplicates(["node"]), "sets")
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
