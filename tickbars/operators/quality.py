@@ -87,7 +87,7 @@ def _digit_pass(counts: DataFrame, shift: int, state: DataFrame) -> DataFrame:
     """Narrow ``state``, one row with the ``prefix`` of the value sought and its ``rank`` among the values with that prefix, by
     one digit. A digit has ``1 << DIGIT_BITS`` values, and as many counts are all that one task orders.
     """
-    above = F.shiftright("latency", shift + DIGIT_BITS) if shift + DIGIT_BITS < 64 else F.lit(0).cast("long")
+    above = F.shiftright("latency", min(shift + DIGIT_BITS, 63))
     carried = ["rank", "total", "worst"]
     rows = counts.select("latency", "n", above.alias("prefix")).join(state, "prefix")
     firsts = [F.first(c).alias(c) for c in carried]
@@ -112,7 +112,8 @@ def latency_stats(bars: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     )
     overall = counts.agg(F.sum("n").alias("total"), F.max("latency").alias("worst"))
     rank = F.least(F.col("total") - 1, F.floor(F.col("total") * F.lit(quantile))).cast("long")
-    state = overall.select(F.lit(0).cast("long").alias("prefix"), rank.alias("rank"), "total", "worst")
+    # No latency is below 0, so all start with the prefix 0; as a literal it would make the first join a nested loop.
+    state = overall.select(F.shiftright("worst", 63).alias("prefix"), rank.alias("rank"), "total", "worst")
     for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
         state = _digit_pass(counts, shift, state)
     zero = F.lit(0).cast("long")
