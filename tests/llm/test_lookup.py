@@ -30,3 +30,15 @@ def test_other_rows_stay_where_they_are():
     shared = type("Shared", (), {"value": words})
     batch = pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array(["t"] * 10_000), pa.array(cells)], names=["__id", "__text", "__cell"])
     assert [x.column(0).to_pylist() for x in lookup._hits(shared)(iter([batch]))] == [[0, 77, 9_999]]
+
+
+def test_a_small_table_of_ids_chains_no_two_python_steps(spark):
+    """With a broadcast join the caller's step would run in the same tasks as the look-up, each with two Python workers."""
+    only = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "__id LONG, __text STRING")
+    wanted = spark.sql("SELECT * FROM VALUES (1L, 'x'), (NULL, 'z') AS t(rep, node)")  # of known size, as a stored table is
+    found = lookup.texts_by_id(only, wanted).mapInArrow(lambda batches: batches, "__text STRING, node STRING")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2
+    above, between, _ = plan.split("MapInArrow")
+    assert "Exchange hashpartitioning" in between and "BroadcastExchange" not in plan
+    assert sorted(map(tuple, found.collect())) == [("a", "x"), ("c", "z")]

@@ -41,4 +41,5 @@ def texts_by_id(only: DataFrame, wanted: DataFrame, cells: int = CELLS) -> DataF
     marked = only.select("__id", "__text", F.pmod(F.xxhash64("__id"), F.lit(cells)).alias("__cell"))
     kind = only.schema["__id"].dataType.simpleString()
     few = marked.mapInArrow(_hits(shared), f"__id {kind}, __text string")
-    return few.join(wanted, F.col("__id").eqNullSafe(F.col("rep"))).drop("__id", "rep")
+    # Shuffled even if ``wanted`` is small: else a task would run this step and the caller's at once, with two Python workers.
+    return few.join(wanted.hint("merge"), F.col("__id").eqNullSafe(F.col("rep"))).drop("__id", "rep")
